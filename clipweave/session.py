@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -28,6 +30,20 @@ def build_session(app: str = "clipweave", master: str | None = None, **conf: str
     return builder.getOrCreate()
 
 
+def ship(spark: SparkSession) -> None:
+    """Give the Python workers this package, once per application, wherever the driver has it from."""
+    context = spark.sparkContext
+    if getattr(context, "_clipweave_shipped", False):
+        return
+    root = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="clipweave-code-")) / "clipweave.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        for file in sorted(root.rglob("*.py")):
+            z.write(file, file.relative_to(root.parent))
+    context.addPyFile(str(archive))
+    context._clipweave_shipped = True
+
+
 def scratch_dir(spark: SparkSession) -> str:
     """The shared folder for lineage cuts.
 

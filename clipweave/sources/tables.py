@@ -5,9 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from clipweave.session import ship
+
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """One table of a corpus folder; NTZ time stamps are read as UTC time stamps."""
+    ship(spark)
     df = spark.read.parquet(f"{folder}/{name}.parquet")
     ntz = {f.name: F.col(f.name).cast("timestamp") for f in df.schema if f.dataType.typeName() == "timestamp_ntz"}
     return df.withColumns(ntz) if ntz else df
