@@ -7,15 +7,44 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clipweave.llm import cap, rank, splits
+from clipweave.llm import cap, lookalike, rank, repetition, splits
 from clipweave.sources.tables import clean_speaker, one_per_key, table, usable
 
+REPEATED_SHARE = 0.5
 CAP_SECONDS = 600
 HEAD_SHARE = 0.01
 SPLITS = {"train": 0.8, "validation": 0.1, "test": 0.1}
 SCORES = {"dnsmos_bak": (1.0, 5.0), "dnsmos_sig": (1.0, 5.0), "utmos": (1.0, 5.0), "window_similarity": (-1.0, 1.0)}
 
 
+def _repetition(spark: SparkSession, folder: str) -> DataFrame:
+    return repetition.repetitive(one_per_key(table(spark, folder, "transcripts"), "id", "backend", "text"), groups=("backend",))
+
+
+def p1_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Transcripts rejected for repetition of which at least half is repeated."""
+    return _repetition(spark, folder).where(F.col("rejected") & (F.col("repeated") >= REPEATED_SHARE)).select("id")
+
+
+def p1_shares(spark: SparkSession, folder: str) -> DataFrame:
+    """Every transcript with its shares of repeated content and its distance from what is usual in its language and source."""
+    return _repetition(spark, folder)
+
+
+def _canonical(spark: SparkSession, folder: str) -> DataFrame:
+    return lookalike.canonical_texts(table(spark, folder, "transcripts"), ["text", "text_tagged"])
+
+
+def p6_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Pairs of transcripts a text of which looks the same but has other characters."""
+    return lookalike.alike_pairs(_canonical(spark, folder))
+
+
+def p6_canonical(spark: SparkSession, folder: str) -> DataFrame:
+    """Every text of every transcript in its one consistent form."""
+    return _canonical(spark, folder).select("id", "field", "canonical").distinct()
+
+
 def _capped(spark: SparkSession, folder: str) -> DataFrame:
     chunks = one_per_key(table(spark, folder, "chunks"), "id", "speaker_id", "dnsmos_bak", "window_similarity", "duration")
 
@@ -103,10 +132,14 @@ GROUP BY speaker_id HAVING count(DISTINCT split) > 1
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Every pN_ query by name."""
     return {
+        "p1_found": p1_found,
+        "p1_shares": p1_shares,
         "p3_found": p3_found,
         "p3_capped": p3_capped,
         "p5_found": p5_found,
         "p5_ranking": p5_ranking,
+        "p6_found": p6_found,
+        "p6_canonical": p6_canonical,
         "p7_found": p7_found,
         "p7_assigned": p7_assigned,
     }
