@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from clipweave.session import cut
+from clipweave.session import cut, drop_cut
 
 #: The walk goes on with this probability, else it starts anew anywhere. Small, so that a place near the top of one score
 #: can't outweigh the other scores; with much larger values the walk piles up on the heads of single scores.
 DAMPING = 0.15
-TOLERANCE = 1e-9
+TOLERANCE = 1e-7
 MAX_ROUNDS = 40
 #: Distinct values of a score that one task sums up in order.
 PREFIX_BLOCK = 20_000
@@ -27,60 +27,69 @@ def rank_walk(items: DataFrame, scores: list[str], *, key: str = "id", damping:
     Per score only the totals of equal values are summed up in order, in blocks of value ranks, so a round costs one
     pass over the items and small joins on the value; no order over all items is ever built.
     """
-    base = cut(items.select(F.col(key).alias("k"), *[F.col(s).cast("double").alias(f"v{i}") for i, s in enumerate(scores)]), "rank-items")
-    n = base.count()
     steps = range(len(scores))
-    if not n:
+    base = cut(items.select(F.col(key).alias("k"), *[F.col(s).cast("double").alias(f"v{i}") for i, s in enumerate(scores)]), "rank-items")
+    ranks = _ranked(base, len(scores))
+    if ranks is None:
         return items.select(key, F.lit(0.0).alias("stationarity")).limit(0)
-    # Dense ranks: d of the value, at: how many items stand at least as high.
-    ranks = [cut(_ranked(base, f"v{i}"), "rank-values") for i in steps]
+    ranks, n = ranks
     placed = base
-    for i, r in enumerate(ranks):
-        placed = placed.join(r.select(F.col("v").alias(f"v{i}"), F.col("d").alias(f"d{i}"), F.col("at").alias(f"a{i}")), f"v{i}")
-    state = cut(placed.select("k", *[f"d{i}" for i in steps], *[f"a{i}" for i in steps], F.lit(1.0 / n).alias("p")), "rank-state")
+    for i in steps:
+        own = ranks.where(F.col("i") == i).select(F.col("v").alias(f"v{i}"), F.col("d").alias(f"d{i}"), F.col("at").alias(f"a{i}"))
+        placed = placed.join(own, f"v{i}")
+    carried = ["k", *[f"d{i}" for i in steps], *[f"a{i}" for i in steps]]
+    state = cut(placed.select(*carried, F.lit(1.0 / n).alias("p")), "rank-state")
     for _ in range(MAX_ROUNDS):
+        sent = F.array(*[F.struct(F.lit(i).alias("i"), F.col(f"d{i}").alias("d"), (F.col("p") / F.col(f"a{i}")).alias("m")) for i in steps])
+        sums = state.select(F.inline(sent)).groupBy("i", "d").agg(F.sum("m").alias("m"))
+        climbs = cut(_running(sums), "rank-climbs")
         step = state
         for i in steps:
-            sums = state.groupBy(f"d{i}").agg(F.sum(F.col("p") / F.col(f"a{i}")).alias("m"))
-            step = step.join(_running(sums, f"d{i}", "m", f"in{i}"), f"d{i}")
+            step = step.join(climbs.where(F.col("i") == i).select(F.col("d").alias(f"d{i}"), F.col("run").alias(f"in{i}")), f"d{i}")
         inflow = sum((F.col(f"in{i}") for i in steps), F.lit(0.0)) / len(scores)
-        new = (F.lit((1 - damping) / n) + damping * inflow).alias("q")
-        state = cut(step.select("k", *[f"d{i}" for i in steps], *[f"a{i}" for i in steps], F.col("p").alias("old"), new), "rank-state")
-        moved = state.agg(F.sum(F.abs(F.col("q") - F.col("old")))).first()[0]
-        state = state.withColumnRenamed("q", "p").drop("old")
-        if moved < tolerance:
+        moved = cut(step.select(*carried, F.col("p").alias("old"), (F.lit((1 - damping) / n) + damping * inflow).alias("p")), "rank-state")
+        drop_cut(state), drop_cut(climbs)
+        state = moved.drop("old")
+        if moved.agg(F.sum(F.abs(F.col("p") - F.col("old")))).first()[0] < tolerance:
             break
     return state.select(F.col("k").alias(key), F.col("p").alias("stationarity"))
 
 
-def _ranked(items: DataFrame, column: str) -> DataFrame:
-    """(v, d, at) of a score's distinct values: dense rank from below, and the number of items at least as high."""
-    counts = cut(items.groupBy(F.col(column).alias("v")).agg(F.count("*").alias("n")), "rank-counts")
-    distinct, total = counts.count(), counts.agg(F.sum("n")).first()[0]
-    parts = max(1, -(-distinct // PREFIX_BLOCK))
-    edges = sorted(set(counts.approxQuantile("v", [i / parts for i in range(1, parts)], 0.2 / parts))) if parts > 1 else []
-    # Blocks by fixed edges, not by partition, so that a repeated task sees the same blocks.
-    block = F.lit(0) if not edges else F.size(F.filter(F.array(*[F.lit(e) for e in edges]), lambda e: F.col("v") >= e))
-    inner = Window.partitionBy("b").orderBy("v")
+def _ranked(items: DataFrame, scores: int) -> tuple[DataFrame, int] | None:
+    """((i, v, d, at), number of items) of the distinct values of score i: dense rank from below, and how many items stand at least as high."""
+    pairs = F.array(*[F.struct(F.lit(i).alias("i"), F.col(f"v{i}").alias("v")) for i in range(scores)])
+    counts = cut(items.select(F.inline(pairs)).groupBy("i", "v").agg(F.count("*").alias("n")), "rank-counts")
+    sizes = {r["i"]: (r["c"], r["n"]) for r in counts.groupBy("i").agg(F.count("*").alias("c"), F.sum("n").alias("n")).collect()}  # a row per score
+    if not sizes:
+        return None
+    block = F.lit(0)
+    for i, (distinct, _) in sizes.items():
+        parts = -(-distinct // PREFIX_BLOCK)
+        if parts > 1:
+            # Blocks by fixed edges, not by partition, so that a repeated task sees the same blocks.
+            edges = sorted(set(counts.where(F.col("i") == i).approxQuantile("v", [j / parts for j in range(1, parts)], 0.2 / parts)))
+            block = F.when(F.col("i") == i, F.size(F.filter(F.array(*[F.lit(e) for e in edges]), lambda e: F.col("v") >= e))).otherwise(block)
+    inner = Window.partitionBy("i", "b").orderBy("v")
     local = counts.withColumn("b", block).select(
-        "v", "b", F.row_number().over(inner).alias("d"), (F.sum("n").over(inner) - F.col("n")).alias("below"), "n"
+        "i", "v", "b", F.row_number().over(inner).alias("d"), (F.sum("n").over(inner) - F.col("n")).alias("below"), "n"
     )
-    blocks = local.groupBy("b").agg(F.count("*").alias("bd"), F.sum("n").alias("bn"))
-    order = Window.orderBy("b")
-    starts = blocks.select("b", (F.sum("bd").over(order) - F.col("bd")).alias("d0"), (F.sum("bn").over(order) - F.col("bn")).alias("n0"))
-    return local.join(starts, "b").select(
-        "v", (F.col("d") + F.col("d0") - 1).cast("long").alias("d"), (F.lit(total) - F.col("below") - F.col("n0")).alias("at")
+    blocks = local.groupBy("i", "b").agg(F.count("*").alias("bd"), F.sum("n").alias("bn"))
+    order = Window.partitionBy("i").orderBy("b")
+    starts = blocks.select("i", "b", (F.sum("bd").over(order) - F.col("bd")).alias("d0"), (F.sum("bn").over(order) - F.col("bn")).alias("n0"))
+    total = sizes[0][1]
+    ranked = local.join(starts, ["i", "b"]).select(
+        "i", "v", (F.col("d") + F.col("d0") - 1).cast("long").alias("d"), (F.lit(total) - F.col("below") - F.col("n0")).alias("at")
     )
+    return cut(ranked, "rank-values"), total
 
 
-def _running(sums: DataFrame, order_by: str, value: str, name: str) -> DataFrame:
-    """Running sums of `value` in order of a dense rank, in blocks of PREFIX_BLOCK ranks."""
-    block = F.floor(F.col(order_by) / PREFIX_BLOCK)
-    inner = Window.partitionBy("b").orderBy(order_by)
-    local = sums.select(order_by, value, block.alias("b")).select(order_by, "b", F.sum(value).over(inner).alias("run"), F.col(value))
-    blocks = local.groupBy("b").agg(F.sum(value).alias("bs"))
-    starts = blocks.select("b", (F.sum("bs").over(Window.orderBy("b")) - F.col("bs")).alias("s0"))
-    return local.join(starts, "b").select(order_by, (F.col("run") + F.col("s0")).alias(name))
+def _running(sums: DataFrame) -> DataFrame:
+    """(i, d, run): running sums of m in order of the dense rank d, in blocks of PREFIX_BLOCK ranks."""
+    inner = Window.partitionBy("i", "b").orderBy("d")
+    local = sums.withColumn("b", F.floor(F.col("d") / PREFIX_BLOCK)).select("i", "d", "b", F.sum("m").over(inner).alias("run"))
+    blocks = local.groupBy("i", "b").agg(F.max("run").alias("bs"))
+    starts = blocks.select("i", "b", (F.sum("bs").over(Window.partitionBy("i").orderBy("b")) - F.col("bs")).alias("s0"))
+    return local.join(starts, ["i", "b"]).select("i", "d", (F.col("run") + F.col("s0")).alias("run"))
 
 
 def head(ranking: DataFrame, share: float, *, key: str = "id", by: str = "stationarity") -> DataFrame:
