@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clipweave.llm import cap, lookalike, rank, repetition, splits
+from clipweave.llm import cap, leakage, lookalike, packing, rank, repetition, residue, splits
 from clipweave.sources.tables import clean_speaker, one_per_key, table, usable
 
 REPEATED_SHARE = 0.5
@@ -103,6 +103,31 @@ def p7_assigned(spark: SparkSession, folder: str) -> DataFrame:
     return splits.deal_splits(rows, SPLITS).select("id", "split")
 
 
+def p8_packed(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document with its sequence, in tokens of a public tokenizer."""
+    documents = one_per_key(table(spark, folder, "documents"), "doc_id", "text")
+    return packing.pack(packing.token_counts(documents))
+
+
+def p9_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents that hold twelve words of an evaluation item, or the whole of a shorter one."""
+    return leakage.leaks(table(spark, folder, "documents"), table(spark, folder, "eval_items"))
+
+
+def _residue(spark: SparkSession, folder: str) -> DataFrame:
+    return residue.residue(table(spark, folder, "documents"))
+
+
+def p10_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents that hold placeholders, filler, error messages or script notices."""
+    return _residue(spark, folder).select("doc_id").distinct()
+
+
+def p10_messages(spark: SparkSession, folder: str) -> DataFrame:
+    """What residue each such document holds, and in how many sources it recurs."""
+    return _residue(spark, folder)
+
+
 SPEAKER_SQL = r"nullif(upper(regexp_replace(speaker_id, '^[\s\p{Z}\p{Cf}]+|[\s\p{Z}\p{Cf}]+$', '', 'g')), '')"
 
 P3_CHUNKS_SQL = f"""
@@ -142,6 +167,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "p6_canonical": p6_canonical,
         "p7_found": p7_found,
         "p7_assigned": p7_assigned,
+        "p8_packed": p8_packed,
+        "p9_found": p9_found,
+        "p10_found": p10_found,
+        "p10_messages": p10_messages,
     }
 
 
