@@ -7,11 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clipweave.llm import cap, leakage, lookalike, packing, rank, repetition, residue, splits
+from clipweave.llm import cap, leakage, lookalike, neighbours, packing, rank, repetition, residue, splits
 from clipweave.sources.tables import clean_speaker, one_per_key, table, usable
 
 REPEATED_SHARE = 0.5
 CAP_SECONDS = 600
+NEIGHBOURS = 5
+NEAR = 0.95
 HEAD_SHARE = 0.01
 SPLITS = {"train": 0.8, "validation": 0.1, "test": 0.1}
 SCORES = {"dnsmos_bak": (1.0, 5.0), "dnsmos_sig": (1.0, 5.0), "utmos": (1.0, 5.0), "window_similarity": (-1.0, 1.0)}
@@ -71,6 +73,17 @@ def p3_capped(spark: SparkSession, folder: str) -> DataFrame:
     return _capped(spark, folder).select("id", F.col("contributor").alias("speaker_id"), "kept")
 
 
+def p4_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Pairs of chunks whose embeddings have a cosine of 0.95 or more."""
+    near = neighbours.nearest_vectors(table(spark, folder, "chunks"), k=NEIGHBOURS, least=NEAR)
+    return near.select(F.least("id", "neighbour").alias("id_a"), F.greatest("id", "neighbour").alias("id_b")).distinct()
+
+
+def p4_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    """The five most similar chunks of every chunk."""
+    return neighbours.nearest_vectors(table(spark, folder, "chunks"), k=NEIGHBOURS)
+
+
 def _ranking(spark: SparkSession, folder: str) -> DataFrame:
     ok = F.lit(True)
     for column, scale in SCORES.items():
@@ -161,6 +174,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "p1_shares": p1_shares,
         "p3_found": p3_found,
         "p3_capped": p3_capped,
+        "p4_found": p4_found,
+        "p4_neighbours": p4_neighbours,
         "p5_found": p5_found,
         "p5_ranking": p5_ranking,
         "p6_found": p6_found,
