@@ -20,14 +20,16 @@ MOST_CELLS = 4096
 SAMPLED_PER_CELL = 16
 #: Cells in which a row is listed and looked for. Near vectors on either side of a border share one of them.
 PROBES = 3
+#: The same for lists without a least similarity, whose last members stand out little: with it recall is above 0.9.
+WIDE_PROBES = 6
 #: Parts of a residual quantised by themselves, one byte each.
 PARTS = 24
 #: Rows that one task compares with each other; the rows of larger cells are compared in blocks, every pair of blocks.
 BLOCK_ROWS = 20_000
-#: How far the estimate by codes may lie under a similarity that is to be found.
-SLACK = 0.03
+#: Standard deviations that the error by codes may bring a pair further apart before a pair that is to be found is lost.
+SIGMAS = 4.0
 #: Estimated neighbours per wanted one that are ranked exactly where no least similarity is given.
-RERANK = 6
+RERANK = 30
 
 
 class Quantiser:
@@ -39,20 +41,35 @@ class Quantiser:
         self.parts = next(p for p in range(min(parts, dims), 0, -1) if dims % p == 0)
         best, _ = V.nearest(sample, self.centroids)
         residual = sample - self.centroids[best]
+        residual /= np.maximum(np.sqrt(np.einsum("ij,ij->i", residual, residual)), 1e-9)[:, None]
         self.books = np.stack([_codebook(residual[:, p * (dims // self.parts) : (p + 1) * (dims // self.parts)], seed + p) for p in range(self.parts)])
         self.shares = np.bincount(best, minlength=len(self.centroids)) / max(len(sample), 1)
 
-    def encode(self, x: np.ndarray, cell: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Codes of the rows' residuals to their cell, and the squared length of what the codes leave out."""
-        residual = x - self.centroids[cell]
+    def encode(self, x: np.ndarray, cell: np.ndarray, block: int = 1024) -> tuple[np.ndarray, np.ndarray]:
+        """Codes of the rows' residuals to their cell; and of each row the gain, the squared length of what the codes leave
+        out, and the squared length of what they stand for.
+
+        The codes tell the direction of a residual, the gain its length, so that one set of codebooks serves cells of any spread.
+        """
         width = x.shape[1] // self.parts
-        out, left = np.empty((len(x), self.parts), np.uint8), np.zeros(len(x), np.float32)
-        for p, book in enumerate(self.books):
-            r = residual[:, p * width : (p + 1) * width]
-            out[:, p] = (r @ book.T - 0.5 * np.einsum("ij,ij->i", book, book)).argmax(axis=1)
-            gap = r - book[out[:, p]]
-            left += np.einsum("ij,ij->i", gap, gap)
-        return out, left
+        out, facts = np.empty((len(x), self.parts), np.uint8), np.empty((len(x), 3), np.float32)
+        halves = [0.5 * np.einsum("ij,ij->i", book, book) for book in self.books]
+        for s in range(0, len(x), block):  # blocks that stay in the cache
+            centre = self.centroids[cell[s : s + block]]
+            residual = x[s : s + block] - centre
+            gain = np.sqrt(np.einsum("ij,ij->i", residual, residual))
+            shape = residual / np.maximum(gain, 1e-9)[:, None]
+            coded = np.empty_like(shape)
+            for p, book in enumerate(self.books):
+                r = np.ascontiguousarray(shape[:, p * width : (p + 1) * width])
+                score = r @ book.T
+                score -= halves[p]
+                out[s : s + block, p] = score.argmax(axis=1)
+                coded[:, p * width : (p + 1) * width] = book[out[s : s + block, p]]
+            coded *= gain[:, None]
+            gap, stands = residual - coded, centre + coded
+            facts[s : s + block] = np.stack([gain, np.einsum("ij,ij->i", gap, gap), np.einsum("ij,ij->i", stands, stands)], axis=1)
+        return out, facts
 
     def tables(self, queries: np.ndarray) -> np.ndarray:
         """Asymmetric tables: for each part the products of every codeword with every query, as (part, codeword, query)."""
@@ -66,41 +83,59 @@ def _codebook(r: np.ndarray, seed: int, size: int = 256, rounds: int = 6) -> np.
     for _ in range(rounds):
         best = (r @ c.T - 0.5 * np.einsum("ij,ij->i", c, c)).argmax(axis=1)
         count = np.bincount(best, minlength=size)
-        sums = np.zeros_like(c)
-        np.add.at(sums, best, r)
+        sums = V.group_sums(r, best, size)
         c = np.where(count[:, None] > 0, sums / np.maximum(count, 1)[:, None], c)
     return c.astype(np.float32)
 
 
-def compare(q: Quantiser, cell: int, x: np.ndarray, code: np.ndarray, left: np.ndarray, rows: np.ndarray, cols: np.ndarray, k: int, least: float | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def compare(
+    q: Quantiser, cell: int, x: np.ndarray, code: np.ndarray, facts: np.ndarray, rows: np.ndarray, cols: np.ndarray, k: int, least: float | None, rerank: int = RERANK
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(row, column, cosine) of the near pairs between two sets of a cell's rows, by tables first and exactly after.
 
-    With `least` all pairs whose estimate reaches it, less SLACK, are computed exactly; else each row's best RERANK * k.
+    The tables give the distance of a query to what a row's codes stand for. With `least` all pairs are computed exactly
+    whose distance isn't further than such a pair's can be but for chance (SIGMAS); else each row's nearest rerank * k.
     Where both sets are the same, a pair of unequal rows is looked at from one side only if `least` is given.
     """
     same = rows is cols
+    gain, left, stands = facts.T
+    if least is not None:
+        apart = np.sqrt(max(0.0, 2 - 2 * least))
+        reach = apart**2 + left + 2 * apart * np.sqrt(left) * (SIGMAS / np.sqrt(x.shape[1])) + 1e-4
+        bar = (1 + stands - reach) / 2
     found = []
-    for s in range(0, len(rows), 256):
-        mine = rows[s : s + 256]
+    for s in range(0, len(rows), 64):
+        mine = rows[s : s + 64]
         others = cols[s:] if same and least is not None else cols
-        tables = q.tables(x[mine])
-        estimate = tables[0][code[others, 0]]
-        for p in range(1, q.parts):
-            estimate += tables[p][code[others, p]]
-        estimate += x[mine] @ q.centroids[cell]
+        tables, base = q.tables(x[mine]), x[mine] @ q.centroids[cell]
+        kept = []
+        for t in range(0, len(others), 1024):
+            them = others[t : t + 1024]
+            codes_ = code[them].astype(np.intp)
+            product, one = np.zeros((len(them), len(mine)), np.float32), np.empty((len(them), len(mine)), np.float32)
+            for p in range(q.parts):
+                np.take(tables[p], codes_[:, p], axis=0, out=one, mode="clip")
+                product += one
+            product *= gain[them][:, None]
+            product += base
+            if least is not None:
+                c, r = np.nonzero(product >= bar[them][:, None])
+                kept.append((r, them[c]))
+            else:
+                kept.append(2 * product - stands[them][:, None])
         if least is not None:
-            estimate += left[others][:, None]
-            c, r = np.nonzero(estimate >= least - SLACK)
+            r, b = (np.concatenate(f) for f in zip(*kept))
+            a = mine[r]
         else:
-            top = min(RERANK * k + 1, len(others))
-            c = np.argpartition(-estimate, top - 1, axis=0)[:top].ravel("F")
-            r = np.repeat(np.arange(len(mine)), top)
-        a, b = mine[r], others[c]
+            near = np.concatenate(kept)
+            top = min(rerank * k + 1, len(others))
+            b = others[np.argpartition(-near, top - 1, axis=0)[:top].ravel("F")]
+            a = np.repeat(mine, top)
         ok = a < b if same and least is not None else a != b
         a, b = a[ok], b[ok]
         cosine = np.empty(len(a), np.float32)
-        for t in range(0, len(a), 65536):
-            cosine[t : t + 65536] = np.einsum("ij,ij->i", x[a[t : t + 65536]], x[b[t : t + 65536]])
+        for t in range(0, len(a), 4096):
+            cosine[t : t + 4096] = np.einsum("ij,ij->i", x[a[t : t + 4096]], x[b[t : t + 4096]])
         if least is not None:
             near = cosine >= least
             a, b, cosine = a[near], b[near], cosine[near]
@@ -110,8 +145,7 @@ def compare(q: Quantiser, cell: int, x: np.ndarray, code: np.ndarray, left: np.n
         a, b, cosine = np.concatenate([a, b]), np.concatenate([b, a]), np.concatenate([cosine, cosine])
     order = np.lexsort((b, -cosine, a))
     a, b, cosine = a[order], b[order], cosine[order]
-    begin = np.searchsorted(a, a, "left")
-    keep = np.arange(len(a)) - begin < k
+    keep = np.arange(len(a)) - np.searchsorted(a, a, "left") < k
     return a[keep], b[keep], cosine[keep]
 
 
@@ -126,7 +160,7 @@ def vector_hashes(packed: np.ndarray) -> np.ndarray:
         return codes.mix((codes.mix(words) * weights).sum(axis=1, dtype=np.uint64)).view(np.int64)
 
 
-def nearest_vectors(records: DataFrame, *, k: int = 5, least: float | None = None, key: str = "id", column: str = "speaker_embedding", dims: int = 192, rows_per_cell: int = ROWS_PER_CELL, block_rows: int = BLOCK_ROWS) -> DataFrame:
+def nearest_vectors(records: DataFrame, *, k: int = 5, least: float | None = None, key: str = "id", column: str = "speaker_embedding", dims: int = 192, rows_per_cell: int = ROWS_PER_CELL, block_rows: int = BLOCK_ROWS, probes: int = PROBES) -> DataFrame:
     """(`key`, neighbour, similarity, rank): the k records most similar to every record, by cosine; with `least` only those reaching it.
 
     Usable are vectors of `dims` finite values that aren't all zero; records without one have no row. A key delivered
@@ -134,7 +168,7 @@ def nearest_vectors(records: DataFrame, *, k: int = 5, least: float | None = Non
     smallest keys first among equals, so a vector that a third of all records share costs one entry and no pairs. Ties
     go to the smaller key.
 
-    Centroids and codebooks are fitted on a bounded sample; every vector is indexed in its PROBES nearest cells, and
+    Centroids and codebooks are fitted on a bounded sample; every vector is indexed in its `probes` nearest cells, and
     every vector is a query there. Vectors travel once per probe, as 16-bit integers; only near pairs leave a cell.
     """
     spark = records.sparkSession
@@ -152,7 +186,7 @@ def nearest_vectors(records: DataFrame, *, k: int = 5, least: float | None = Non
         return spark.createDataFrame([], f"`{key}` {kind}, neighbour {kind}, similarity float, rank int")
     cells = int(min(MOST_CELLS, max(1, n // rows_per_cell)))
     quantiser = Quantiser(V.sample(given, key, column, dims, max(1024, SAMPLED_PER_CELL * cells)), cells)
-    blocks = np.maximum(1, np.ceil(quantiser.shares * n * PROBES / block_rows)).astype(np.int64)
+    blocks = np.maximum(1, np.ceil(quantiser.shares * n * probes / block_rows)).astype(np.int64)
     shared = spark.sparkContext.broadcast((quantiser, blocks))
 
     def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -162,10 +196,10 @@ def nearest_vectors(records: DataFrame, *, k: int = 5, least: float | None = Non
             h = vector_hashes(np.rint(x * V.SCALE).astype(np.int16))
             _, first = np.unique(h, return_index=True)
             x, h = x[first], h[first]
-            tops = V.top_cells(x, q.centroids, PROBES)
+            tops = V.top_cells(x, q.centroids, probes)
             for p in range(tops.shape[1]):
                 cell = tops[:, p]
-                code, left = q.encode(x, cell)
+                code, facts = q.encode(x, cell)
                 count = parts[cell]
                 own = (h.view(np.uint64) % count.astype(np.uint64)).astype(np.int64)
                 # A row of a cell in several blocks goes to every pair of blocks that holds its own.
@@ -174,8 +208,8 @@ def nearest_vectors(records: DataFrame, *, k: int = 5, least: float | None = Non
                 low, high = np.minimum(own[rep], other), np.maximum(own[rep], other)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(cell[rep].astype(np.int32)), pa.array(low.astype(np.int32)), pa.array(high.astype(np.int32)), pa.array(own[rep].astype(np.int32)), pa.array(h[rep]),
-                     V.pack(x[rep]), V.rows_as_binary(code[rep]), pa.array(left[rep])],
-                    names=["cell", "low", "high", "own", "h", "v", "code", "left"],
+                     V.pack(x[rep]), V.rows_as_binary(code[rep]), V.rows_as_binary(facts[rep])],
+                    names=["cell", "low", "high", "own", "h", "v", "code", "facts"],
                 )
 
     def compared(table: pa.Table) -> pa.Table:
@@ -185,14 +219,14 @@ def nearest_vectors(records: DataFrame, *, k: int = 5, least: float | None = Non
         if len(first) < len(h):
             table, h = table.take(pa.array(first)), h[first]
         x = V.unpack(table["v"], dims)
-        code, left, own = V.binary_rows(table["code"], np.uint8, q.parts), table["left"].to_numpy(), table["own"].to_numpy()
+        code, facts, own = V.binary_rows(table["code"], np.uint8, q.parts), V.binary_rows(table["facts"], np.float32, 3), table["own"].to_numpy()
         cell, low, high = (table[c][0].as_py() for c in ("cell", "low", "high"))
         rows = np.flatnonzero(own == low)
         cols = rows if low == high else np.flatnonzero(own == high)
-        a, b, cosine = compare(q, cell, x, code, left, rows, cols, k, least)
+        a, b, cosine = compare(q, cell, x, code, facts, rows, cols, k, least)
         return pa.table({"a": pa.array(h[a]), "b": pa.array(h[b]), "s": pa.array(cosine)})
 
-    index = given.select(column).mapInArrow(listed, "cell int, low int, high int, own int, h bigint, v binary, code binary, left float")
+    index = given.select(column).mapInArrow(listed, "cell int, low int, high int, own int, h bigint, v binary, code binary, facts binary")
     pairs = index.groupBy("cell", "low", "high").applyInArrow(compared, "a bigint, b bigint, s float")
     # A pair may come from several cells, with one and the same similarity.
     best = pairs.groupBy("a", "b").agg(F.max("s").alias("s"))

@@ -81,7 +81,7 @@ def p4_found(spark: SparkSession, folder: str) -> DataFrame:
 
 def p4_neighbours(spark: SparkSession, folder: str) -> DataFrame:
     """The five most similar chunks of every chunk."""
-    return neighbours.nearest_vectors(table(spark, folder, "chunks"), k=NEIGHBOURS)
+    return neighbours.nearest_vectors(table(spark, folder, "chunks"), k=NEIGHBOURS, probes=neighbours.WIDE_PROBES)
 
 
 def _ranking(spark: SparkSession, folder: str) -> DataFrame:

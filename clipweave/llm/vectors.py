@@ -92,8 +92,7 @@ def fit_cells(x: np.ndarray, cells: int, rounds: int = 8, seed: int = 0) -> np.n
     c = x[rng.choice(len(x), cells, replace=False)].copy()
     for _ in range(rounds):
         best, sim = nearest(x, c)
-        sums = np.zeros_like(c)
-        np.add.at(sums, best, x)
+        sums = group_sums(x, best, cells)
         length = np.sqrt(np.einsum("ij,ij->i", sums, sums))
         empty = np.flatnonzero(length < 1e-6)
         if len(empty):
@@ -103,6 +102,16 @@ def fit_cells(x: np.ndarray, cells: int, rounds: int = 8, seed: int = 0) -> np.n
     return c.astype(np.float32)
 
 
+def group_sums(x: np.ndarray, group: np.ndarray, groups: int) -> np.ndarray:
+    """Sums of the rows of each group."""
+    order = np.argsort(group, kind="stable")
+    begin = np.searchsorted(group[order], np.arange(groups))
+    count = np.diff(np.append(begin, len(x)))
+    sums = np.add.reduceat(np.concatenate([x[order], np.zeros((1, x.shape[1]), x.dtype)]), begin, axis=0)
+    sums[count == 0] = 0
+    return sums
+
+
 def nearest(x: np.ndarray, c: np.ndarray, block: int = 4096) -> tuple[np.ndarray, np.ndarray]:
     """The nearest centroid of each row, and its cosine."""
     best, sim = np.empty(len(x), np.int64), np.empty(len(x), np.float32)
