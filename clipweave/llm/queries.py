@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clipweave.llm import cap, leakage, lookalike, neighbours, packing, rank, repetition, residue, splits
+from clipweave.llm import cap, clusters, leakage, lookalike, neighbours, packing, rank, repetition, residue, splits
 from clipweave.sources.tables import clean_speaker, one_per_key, table, usable
 
 REPEATED_SHARE = 0.5
@@ -47,6 +47,26 @@ def p6_canonical(spark: SparkSession, folder: str) -> DataFrame:
     return _canonical(spark, folder).select("id", "field", "canonical").distinct()
 
 
+def _voices(spark: SparkSession, folder: str) -> DataFrame:
+    chunks = table(spark, folder, "chunks").select("id", clean_speaker().alias("speaker_id"), "speaker_embedding")
+    return clusters.similarity_clusters(chunks, keep=("speaker_id",))
+
+
+def p2_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Chunks whose speaker is missing or another than the one their group of one voice is named by."""
+    members = _voices(spark, folder)
+    named = members.join(clusters.cluster_names(members, "speaker_id"), "cluster")
+    wrong = named.where(F.col("speaker_id").isNull() | (F.col("speaker_id") != F.col("name")))
+    return wrong.select("id", F.col("name").alias("speaker_id"))
+
+
+def p2_voices(spark: SparkSession, folder: str) -> DataFrame:
+    """Every group of one voice with its size, its most typical chunks and its speaker."""
+    members = _voices(spark, folder)
+    described = clusters.describe_clusters(members).join(clusters.cluster_names(members, "speaker_id"), "cluster", "left")
+    return described.select("cluster", "size", "typical", F.col("name").alias("speaker_id"))
+
+
 def _capped(spark: SparkSession, folder: str) -> DataFrame:
     chunks = one_per_key(table(spark, folder, "chunks"), "id", "speaker_id", "dnsmos_bak", "window_similarity", "duration")
 
@@ -172,6 +192,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "p1_found": p1_found,
         "p1_shares": p1_shares,
+        "p2_found": p2_found,
+        "p2_voices": p2_voices,
         "p3_found": p3_found,
         "p3_capped": p3_capped,
         "p4_found": p4_found,
