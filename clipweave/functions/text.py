@@ -1,0 +1,176 @@
+"""Transcript text as Column expressions; Arrow functions only where a scan with a stack or a Unicode form needs them."""
+
+from __future__ import annotations
+
+import re
+import unicodedata
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+# Character classes and tag names of transcripts.
+TAG = r"\[\s*/?\s*[A-Za-z_ ]+?\s*\]"
+ARABIC = r"[ء-يٱ-ۓۺ-ۿ]"
+LATIN = r"[A-Za-z]"
+LATIN_WORD = r"[A-Za-z][A-Za-z'\-]*"
+MARKS = r"[ؐ-ًؚ-ٰٟۖ-ۭـ]"
+EVENTS = ("laughs", "chuckles", "sighs", "breath", "gasps", "coughs", "clears_throat", "sniffs", "lip_smack", "pause")
+SPANS = ("whispering", "laughing_speech", "shouting")
+STYLES = ("excited", "happy", "sad", "angry", "calm", "surprised", "sarcastic", "friendly", "serious")
+
+
+def squeeze(text: Column) -> Column:
+    """White space runs as one blank, none at the ends."""
+    return F.trim(F.regexp_replace(text, r"\s+", " "))
+
+
+def strip_tags(text: Column) -> Column:
+    """Text without bracket tags."""
+    return squeeze(F.regexp_replace(text, TAG, " "))
+
+
+def count_of(text: Column, pattern: str) -> Column:
+    """How often a pattern matches."""
+    return F.regexp_count(text, F.lit(pattern))
+
+
+def arabic_ratio(text: Column) -> Column:
+    """Arabic letters among Arabic and Latin ones, 0 without any; tags aren't stripped."""
+    ar, la = count_of(text, ARABIC), count_of(text, LATIN)
+    return F.coalesce(ar / F.nullif(ar + la, F.lit(0)), F.lit(0.0))
+
+
+def latin_words(text: Column) -> Column:
+    """The Latin words, tags stripped."""
+    return F.regexp_extract_all(strip_tags(text), F.lit(f"({LATIN_WORD})"), F.lit(1))
+
+
+def is_code_switched(text: Column) -> Column:
+    """At least one Latin word beside Arabic letters."""
+    return (F.size(latin_words(text)) > 0) & (count_of(text, ARABIC) > 0)
+
+
+def letters(text: Column) -> Column:
+    """Arabic and Latin letters, tags stripped."""
+    bare = strip_tags(text)
+    return count_of(bare, ARABIC) + count_of(bare, LATIN)
+
+
+@F.pandas_udf("string")
+def nfkc(texts: pd.Series) -> pd.Series:
+    """Compatibility composition, which no built-in function gives."""
+    return texts.map(lambda t: unicodedata.normalize("NFKC", t) if t is not None and not t.isascii() else t)
+
+
+def normalize_for_compare(text: Column, compose: bool = True) -> Column:
+    """The form in which two transcripts are compared: no tags, marks, hamza seats or punctuation, lower case."""
+    t = strip_tags(text)
+    t = F.lower(nfkc(t) if compose else t)
+    t = F.translate(F.regexp_replace(t, MARKS, ""), "أإآٱةىؤئ", "ااااهيوي")
+    return squeeze(F.regexp_replace(t, r"[^\p{L}\p{N}\s]", " "))
+
+
+def cer(ref: Column, hyp: Column) -> Column:
+    """Edits per character of the reference; an empty reference gives 0 for an empty hypothesis, else 1."""
+    empty = F.when(F.length(hyp) == 0, 0.0).otherwise(1.0)
+    return F.when(F.length(ref) == 0, empty).otherwise(F.levenshtein(ref, hyp) / F.nullif(F.length(ref), F.lit(0)))
+
+
+def cer_within(ref: Column, hyp: Column, limit: float) -> Column:
+    """Whether the CER is at most `limit`; texts whose lengths alone rule it out aren't aligned."""
+    gap = F.abs(F.length(ref) - F.length(hyp))
+    return F.when(gap > limit * F.length(ref), F.length(ref) == 0).otherwise(cer(ref, hyp) <= limit) & ~((F.length(ref) == 0) & (F.length(hyp) > 0) & F.lit(limit < 1))
+
+
+def has_repetition_loop(text: Column, repeats: int = 6) -> Column:
+    """Whether blocks of one, two or three words, counted from the first word, follow each other equal `repeats` times."""
+    w = F.split(strip_tags(text), " ")
+
+    def looped(n: int) -> Column:
+        blocks = F.transform(F.sequence(F.lit(0), F.greatest(F.lit(0), F.floor(F.size(w) / n).cast("int") - 1)), lambda k: F.array_join(F.slice(w, k * n + 1, n), " "))
+        run = F.aggregate(
+            blocks,
+            F.struct(F.lit("").alias("last"), F.lit(0).alias("run"), F.lit(0).alias("best")),
+            lambda a, b: F.struct(b.alias("last"), F.when(a["last"] == b, a["run"] + 1).otherwise(1).alias("run"), F.greatest(a["best"], F.when(a["last"] == b, a["run"] + 1).otherwise(1)).alias("best")),
+        )
+        return run["best"] >= repeats
+
+    return (F.length(strip_tags(text)) > 0) & (looped(1) | looped(2) | looped(3))
+
+
+def sanity_flags(text: Column, seconds: Column, *, slowest: float = 4.0, fastest: float = 28.0, least_arabic: float = 0.5) -> Column:
+    """What is wrong with a transcript, in order; nothing if it is sound. Unrounded figures are judged."""
+    rate = letters(text) / F.greatest(seconds, F.lit(1e-6))
+    return F.array_compact(F.array(
+        F.when(F.length(F.trim(text)) == 0, "empty"), F.when(rate < slowest, "too_slow"), F.when(rate > fastest, "too_fast"),
+        F.when(arabic_ratio(text) < least_arabic, "not_arabic"), F.when(has_repetition_loop(text), "repetition"),
+    ))
+
+
+def clean_llm_output(text: Column) -> Column:
+    """A model's answer without code fences, a leading label, and one pair of quotes around it all."""
+    t = F.trim(F.regexp_replace(text, r"(?m)^\s*```\w*\s*$|```", ""))
+    t = F.trim(F.regexp_replace(t, r"(?i)^(transcript|transcription|النص|التفريغ)\s*[:：]\s*", ""))
+    first, last = F.substring(t, 1, 1), F.substring(t, -1, 1)
+    quoted = (F.length(t) >= 2) & (first == last) & first.isin('"', "'", "«", "»", "“", "”")
+    return squeeze(F.when(quoted, F.substring(t, F.lit(2), F.length(t) - 2)).otherwise(t))
+
+
+def tag_names(text: Column) -> Column:
+    """Canonical names of all opening tags, in order."""
+    names = F.regexp_extract_all(text, F.lit(r"\[\s*([A-Za-z_ ]+?)\s*\]"), F.lit(1))
+    return F.transform(names, lambda n: F.regexp_replace(F.lower(F.trim(n)), r"[\s\-]+", "_"))
+
+
+def tag_cleaner(events: tuple[str, ...] = EVENTS, spans: tuple[str, ...] = SPANS, styles: tuple[str, ...] = STYLES):
+    """An Arrow function: text to (text, tags) with only known tags in canonical spelling and every span closed once.
+
+    Unknown tags go, closers without an open span go, and spans still open at the end are closed, the last first.
+    """
+    known, span_names = {*events, *spans, *styles}, set(spans)
+    tag = re.compile(r"\[\s*(/?)\s*([A-Za-z_ ]+?)\s*\]")
+
+    def one(text: str | None) -> tuple[str | None, list[str]]:
+        if text is None:
+            return None, []
+        open_: list[str] = []
+        names: list[str] = []
+
+        def write(m: re.Match) -> str:
+            name = re.sub(r"[\s\-]+", "_", m[2].strip().lower())
+            if name not in known:
+                return " "
+            if m[1]:
+                if name not in open_:
+                    return " "
+                open_.remove(name)
+                return f" [/{name}] "
+            names.append(name)
+            if name in span_names:
+                open_.append(name)
+            return f" [{name}] "
+
+        out = tag.sub(write, text) + "".join(f" [/{n}]" for n in reversed(open_))
+        return re.sub(r"\s+", " ", out).strip(), names
+
+    @F.pandas_udf("struct<text:string,tags:array<string>>")
+    def clean(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            yield pd.DataFrame([one(t) for t in b], columns=["text", "tags"])
+
+    return clean
+
+
+def safe_name(name: Column, most: int = 120) -> Column:
+    """A directory name: forbidden characters as blanks, cut at a character so that it has at most `most` UTF-8 bytes."""
+    flat = squeeze(F.regexp_replace(name, r'[\\/:*?"<>|\x00-\x1f]', " "))
+    lengths = F.transform(F.split(flat, ""), lambda c: F.octet_length(c))
+    fit = F.aggregate(lengths, F.struct(F.lit(0).alias("bytes"), F.lit(0).alias("chars")), lambda a, n: F.struct((a["bytes"] + n).alias("bytes"), F.when(a["bytes"] + n <= most, a["chars"] + 1).otherwise(a["chars"]).alias("chars")))
+    return F.trim(F.substring(flat, F.lit(1), fit["chars"]))
+
+
+def word_counts(text: Column) -> Column:
+    """Arabic content words of three letters or more, tags stripped."""
+    return F.regexp_extract_all(strip_tags(text), F.lit(r"([ء-ي]{3,})"), F.lit(1))
