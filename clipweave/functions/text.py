@@ -9,6 +9,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StringType, StructType
 
 # Character classes and tag names of transcripts.
 TAG = r"\[\s*/?\s*[A-Za-z_ ]+?\s*\]"
@@ -58,7 +59,7 @@ def letters(text: Column) -> Column:
     return count_of(bare, ARABIC) + count_of(bare, LATIN)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def nfkc(texts: pd.Series) -> pd.Series:
     """Compatibility composition, which no built-in function gives."""
     return texts.map(lambda t: unicodedata.normalize("NFKC", t) if t is not None and not t.isascii() else t)
@@ -155,7 +156,7 @@ def tag_cleaner(events: tuple[str, ...] = EVENTS, spans: tuple[str, ...] = SPANS
         out = tag.sub(write, text) + "".join(f" [/{n}]" for n in reversed(open_))
         return re.sub(r"\s+", " ", out).strip(), names
 
-    @F.pandas_udf("struct<text:string,tags:array<string>>")
+    @F.pandas_udf(StructType().add("text", StringType()).add("tags", ArrayType(StringType())))
     def clean(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for b in batches:
             yield pd.DataFrame([one(t) for t in b], columns=["text", "tags"])

@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from clipweave.plans import corpus
+from clipweave.plans import catalog, corpus, speech
 
-MODULES = (corpus,)
+MODULES = (corpus, speech, catalog)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
