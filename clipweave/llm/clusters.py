@@ -17,10 +17,10 @@ from clipweave.session import cut
 #: Mean cosine between the members of two features from which they are one. "About 0.65 or more" within a cluster, and
 #: well below between clusters, leaves room under 0.65 for the pairs of a cluster that lie furthest apart.
 SIMILAR = 0.6
-#: Rows a branch of the trees' root is made for, and the most branches there may be (sent to every task: 0.8 MB at 192 dimensions).
-ROWS_PER_BRANCH = 2000
-MOST_BRANCHES = 1024
-SAMPLED_PER_BRANCH = 16
+#: Rows a branch of the trees' root is made for, and the most branches there may be (sent to every task: 3 MB at 192 dimensions).
+ROWS_PER_BRANCH = 400
+MOST_BRANCHES = 4096
+SAMPLED_PER_BRANCH = 32
 #: Leaves a task holds before it passes its tree on and starts anew. Features are mergeable, so nothing is lost.
 LEAVES_HELD = 30_000
 #: Trees merged by one task at a time.
