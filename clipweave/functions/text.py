@@ -27,6 +27,11 @@ def squeeze(text: Column) -> Column:
     return F.trim(F.regexp_replace(text, r"\s+", " "))
 
 
+def stripped(text: Column) -> Column:
+    """Text without white space of any kind at its ends; trim takes blanks only."""
+    return F.regexp_replace(text, r"^\s+|\s+$", "")
+
+
 def strip_tags(text: Column) -> Column:
     """Text without bracket tags."""
     return squeeze(F.regexp_replace(text, TAG, " "))
@@ -105,15 +110,15 @@ def sanity_flags(text: Column, seconds: Column, *, slowest: float = 4.0, fastest
     """What is wrong with a transcript, in order; nothing if it is sound. Unrounded figures are judged."""
     rate = letters(text) / F.greatest(seconds, F.lit(1e-6))
     return F.array_compact(F.array(
-        F.when(F.length(F.trim(text)) == 0, "empty"), F.when(rate < slowest, "too_slow"), F.when(rate > fastest, "too_fast"),
+        F.when(F.length(stripped(text)) == 0, "empty"), F.when(rate < slowest, "too_slow"), F.when(rate > fastest, "too_fast"),
         F.when(arabic_ratio(text) < least_arabic, "not_arabic"), F.when(has_repetition_loop(text), "repetition"),
     ))
 
 
 def clean_llm_output(text: Column) -> Column:
     """A model's answer without code fences, a leading label, and one pair of quotes around it all."""
-    t = F.trim(F.regexp_replace(text, r"(?m)^\s*```\w*\s*$|```", ""))
-    t = F.trim(F.regexp_replace(t, r"(?i)^(transcript|transcription|النص|التفريغ)\s*[:：]\s*", ""))
+    t = stripped(F.regexp_replace(text, r"(?m)^\s*```\w*\s*$|```", ""))
+    t = stripped(F.regexp_replace(t, r"(?i)^(transcript|transcription|النص|التفريغ)\s*[:：]\s*", ""))
     first, last = F.substring(t, 1, 1), F.substring(t, -1, 1)
     quoted = (F.length(t) >= 2) & (first == last) & first.isin('"', "'", "«", "»", "“", "”")
     return squeeze(F.when(quoted, F.substring(t, F.lit(2), F.length(t) - 2)).otherwise(t))

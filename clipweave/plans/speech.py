@@ -91,7 +91,7 @@ _RATE = f"(({_AR.format('plain')} + {_LA.format('plain')}) / greatest(coalesce(m
 
 
 @query(f"""WITH {CLIPS_SQL}, {BARE_SQL}, j AS (SELECT id, text, plain, ms, string_split(plain, ' ') AS w FROM bare JOIN clips USING (id))
-SELECT id, round({_RATE}, 2) AS rate, array_to_string([x FOR x IN [CASE WHEN trim(text) = '' THEN 'empty' END, CASE WHEN {_RATE} < 4 THEN 'too_slow' END, CASE WHEN {_RATE} > 28 THEN 'too_fast' END,
+SELECT id, round({_RATE}, 2) AS rate, array_to_string([x FOR x IN [CASE WHEN regexp_replace(text, '^\\s+|\\s+$', '', 'g') = '' THEN 'empty' END, CASE WHEN {_RATE} < 4 THEN 'too_slow' END, CASE WHEN {_RATE} > 28 THEN 'too_fast' END,
   CASE WHEN {_RATIO} < 0.5::DOUBLE THEN 'not_arabic' END, CASE WHEN plain <> '' AND ({_loop_sql('w')}) THEN 'repetition' END] IF x IS NOT NULL], '|') AS flags FROM j""")
 def sanity_flags(spark, folder):
     """What is wrong with every transcript, given its clip's length."""

@@ -75,9 +75,15 @@ def cut(df: DataFrame, name: str = "cut") -> DataFrame:
 def drop_cut(df: DataFrame) -> None:
     """Delete the files behind a frame made by `cut`, once nothing refers to it."""
     spark = df.sparkSession
-    jvm = spark.sparkContext._jvm
-    base = scratch_dir(spark)
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+
+    def qualified(name: str):
+        path = jvm.org.apache.hadoop.fs.Path(name)
+        fs = path.getFileSystem(conf)
+        return fs, fs.makeQualified(path)
+
+    base = qualified(scratch_dir(spark))[1].toString()
     for folder in {f.rpartition("/")[0] for f in df.inputFiles()}:
-        if folder.replace("file:///", "file:/").startswith(base.replace("file:///", "file:/")):
-            path = jvm.org.apache.hadoop.fs.Path(folder)
-            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        fs, path = qualified(folder)
+        if path.toString().startswith(base):
+            fs.delete(path, True)
