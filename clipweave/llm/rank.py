@@ -19,10 +19,11 @@ PREFIX_BLOCK = 20_000
 def rank_walk(items: DataFrame, scores: list[str], *, key: str = "id", damping: float = DAMPING, tolerance: float = TOLERANCE) -> DataFrame:
     """(`key`, stationarity) for every item: the share of time a walk spends on it that climbs by single scores.
 
-    From an item the walk picks one of `scores` at random and jumps uniformly to the items standing at least as high
-    there (ties and the item itself included, so the top is no dead end). Only the order of each score matters, never
-    its scale. `items` has one row per `key` and no null or NaN score; equal values tie and get equal mass. Other
-    columns are ignored. An empty table gives an empty result.
+    From an item the walk picks one of `scores` at random and draws an item uniformly; if that stands higher in the
+    score, it jumps there, else it stays. So every higher-ranked item is reached with equal probability, and where an
+    item stands counts in proportion: jumps shared out among the higher-ranked alone would pile up on the heads of single
+    scores. Only the order of each score matters, never its scale. `items` has one row per `key` and no null or NaN
+    score; equal values tie. Other columns are ignored. An empty table gives an empty result.
 
     Per score only the totals of equal values are summed up in order, in blocks of value ranks, so a round costs one
     pass over the items and small joins on the value; no order over all items is ever built.
@@ -35,18 +36,19 @@ def rank_walk(items: DataFrame, scores: list[str], *, key: str = "id", damping:
     ranks, n = ranks
     placed = base
     for i in steps:
-        own = ranks.where(F.col("i") == i).select(F.col("v").alias(f"v{i}"), F.col("d").alias(f"d{i}"), F.col("at").alias(f"a{i}"))
+        own = ranks.where(F.col("i") == i).select(F.col("v").alias(f"v{i}"), F.col("d").alias(f"d{i}"), F.col("above").alias(f"a{i}"))
         placed = placed.join(own, f"v{i}")
     carried = ["k", *[f"d{i}" for i in steps], *[f"a{i}" for i in steps]]
     state = cut(placed.select(*carried, F.lit(1.0 / n).alias("p")), "rank-state")
     for _ in range(MAX_ROUNDS):
-        sent = F.array(*[F.struct(F.lit(i).alias("i"), F.col(f"d{i}").alias("d"), (F.col("p") / F.col(f"a{i}")).alias("m")) for i in steps])
+        sent = F.array(*[F.struct(F.lit(i).alias("i"), F.col(f"d{i}").alias("d"), F.col("p").alias("m")) for i in steps])
         sums = state.select(F.inline(sent)).groupBy("i", "d").agg(F.sum("m").alias("m"))
         climbs = cut(_running(sums), "rank-climbs")
         step = state
         for i in steps:
             step = step.join(climbs.where(F.col("i") == i).select(F.col("d").alias(f"d{i}"), F.col("run").alias(f"in{i}")), f"d{i}")
-        inflow = sum((F.col(f"in{i}") for i in steps), F.lit(0.0)) / len(scores)
+        stays = [F.col("p") * (1 - F.col(f"a{i}") / n) for i in steps]
+        inflow = sum((F.col(f"in{i}") / n + stay for i, stay in zip(steps, stays)), F.lit(0.0)) / len(scores)
         moved = cut(step.select(*carried, F.col("p").alias("old"), (F.lit((1 - damping) / n) + damping * inflow).alias("p")), "rank-state")
         drop_cut(state), drop_cut(climbs)
         state = moved.drop("old")
@@ -56,7 +58,7 @@ def rank_walk(items: DataFrame, scores: list[str], *, key: str = "id", damping:
 
 
 def _ranked(items: DataFrame, scores: int) -> tuple[DataFrame, int] | None:
-    """((i, v, d, at), number of items) of the distinct values of score i: dense rank from below, and how many items stand at least as high."""
+    """((i, v, d, above), number of items) of the distinct values of score i: dense rank from below, and how many items stand higher."""
     pairs = F.array(*[F.struct(F.lit(i).alias("i"), F.col(f"v{i}").alias("v")) for i in range(scores)])
     counts = cut(items.select(F.inline(pairs)).groupBy("i", "v").agg(F.count("*").alias("n")), "rank-counts")
     sizes = {r["i"]: (r["c"], r["n"]) for r in counts.groupBy("i").agg(F.count("*").alias("c"), F.sum("n").alias("n")).collect()}  # a row per score
@@ -71,25 +73,25 @@ def _ranked(items: DataFrame, scores: int) -> tuple[DataFrame, int] | None:
             block = F.when(F.col("i") == i, F.size(F.filter(F.array(*[F.lit(e) for e in edges]), lambda e: F.col("v") >= e))).otherwise(block)
     inner = Window.partitionBy("i", "b").orderBy("v")
     local = counts.withColumn("b", block).select(
-        "i", "v", "b", F.row_number().over(inner).alias("d"), (F.sum("n").over(inner) - F.col("n")).alias("below"), "n"
+        "i", "v", "b", F.row_number().over(inner).alias("d"), F.sum("n").over(inner).alias("upto"), "n"
     )
     blocks = local.groupBy("i", "b").agg(F.count("*").alias("bd"), F.sum("n").alias("bn"))
     order = Window.partitionBy("i").orderBy("b")
     starts = blocks.select("i", "b", (F.sum("bd").over(order) - F.col("bd")).alias("d0"), (F.sum("bn").over(order) - F.col("bn")).alias("n0"))
     total = sizes[0][1]
     ranked = local.join(starts, ["i", "b"]).select(
-        "i", "v", (F.col("d") + F.col("d0") - 1).cast("long").alias("d"), (F.lit(total) - F.col("below") - F.col("n0")).alias("at")
+        "i", "v", (F.col("d") + F.col("d0") - 1).cast("long").alias("d"), (F.lit(total) - F.col("upto") - F.col("n0")).alias("above")
     )
     return cut(ranked, "rank-values"), total
 
 
 def _running(sums: DataFrame) -> DataFrame:
-    """(i, d, run): running sums of m in order of the dense rank d, in blocks of PREFIX_BLOCK ranks."""
+    """(i, d, run): sums of m over all lower dense ranks d, in blocks of PREFIX_BLOCK ranks."""
     inner = Window.partitionBy("i", "b").orderBy("d")
-    local = sums.withColumn("b", F.floor(F.col("d") / PREFIX_BLOCK)).select("i", "d", "b", F.sum("m").over(inner).alias("run"))
+    local = sums.withColumn("b", F.floor(F.col("d") / PREFIX_BLOCK)).select("i", "d", "b", "m", F.sum("m").over(inner).alias("run"))
     blocks = local.groupBy("i", "b").agg(F.max("run").alias("bs"))
     starts = blocks.select("i", "b", (F.sum("bs").over(Window.partitionBy("i").orderBy("b")) - F.col("bs")).alias("s0"))
-    return local.join(starts, ["i", "b"]).select("i", "d", (F.col("run") + F.col("s0")).alias("run"))
+    return local.join(starts, ["i", "b"]).select("i", "d", (F.col("run") - F.col("m") + F.col("s0")).alias("run"))
 
 
 def head(ranking: DataFrame, share: float, *, key: str = "id", by: str = "stationarity") -> DataFrame:
