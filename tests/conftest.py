@@ -1,11 +1,11 @@
-import os
 import sys
 from pathlib import Path
 
 import pytest
 
-sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
-DATA = Path(os.environ.get("CORPUS_DIR", "/root/testdata"))
+sys.path[:0] = [str(Path(__file__).resolve().parents[1]), str(Path(__file__).resolve().parent)]
+
+from helpers import DATA  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -24,16 +24,3 @@ def small():
     if not folder.exists():
         pytest.skip("no corpus tables")
     return str(folder)
-
-
-def rows(df):
-    """Rows as a sorted list of plain values."""
-
-    def plain(v):
-        if isinstance(v, float):
-            return "null" if v != v else round(v, 6)
-        if isinstance(v, (list, tuple)):
-            return tuple(plain(x) for x in v)
-        return v
-
-    return sorted((tuple(plain(v) for v in r) for r in df.collect()), key=repr)

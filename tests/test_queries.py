@@ -2,7 +2,7 @@
 
 import duckdb
 import pytest
-from conftest import DATA
+from helpers import DATA
 
 from clipweave.plans import registry
 
