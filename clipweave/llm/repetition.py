@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clipweave.llm import codes
@@ -31,7 +31,7 @@ SOUND_CENTRE = 0.25
 
 
 def shares(texts: list[str]) -> np.ndarray:
-    """STATS of every text, and its number of letters, as columns.
+    """STATS of every text, and its numbers of letters, of Arabic and of Latin ones, as columns.
 
     repeated: share of the letters in a passage already said before, PASSAGE words or more anywhere (passages) or
     anything that directly follows its own copy, with or without blanks between (echoes). unvaried: share of the words
@@ -41,8 +41,11 @@ def shares(texts: list[str]) -> np.ndarray:
     n = len(texts)
     w = codes.Words(texts)
     letters = np.bincount(w.char_text, minlength=n)[:n]
-    out = np.zeros((n, len(STATS) + 1))
-    out[:, -1] = letters
+    out = np.zeros((n, len(STATS) + 3))
+    arabic = (w.chars >= 0x0621) & (w.chars <= 0x06D3)
+    latin = (w.chars >= ord("a")) & (w.chars <= ord("z"))
+    for i, flag in ((4, None), (5, arabic), (6, latin)):
+        out[:, i] = letters if flag is None else np.bincount(w.char_text[flag], minlength=n)[:n]
     if not len(w.chars):
         return out
     hashes = w.hashes()
@@ -122,12 +125,12 @@ def _squares(chars: np.ndarray, text: np.ndarray, low: int, high: int) -> np.nda
 
 
 def repetition_stats(documents: DataFrame, *, key: str = "id", text: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
-    """(`key`, *keep, *STATS, letters, arabic) for every row; null text counts as empty. Whole texts are read.
+    """(`key`, *keep, *STATS, letters, arabic, latin) for every row; null text counts as empty. Whole texts are read.
 
-    arabic is the share of Arabic letters among all letters, by which the language of a transcript is told.
+    The last three count letters, Arabic letters and Latin letters, by which the language of a transcript is told.
     """
     schema = documents.select(key, *keep).schema
-    spec = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema) + "".join(f", {s} double" for s in STATS) + ", letters bigint"
+    spec = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema) + "".join(f", {s} double" for s in STATS) + ", letters bigint, arabic bigint, latin bigint"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -135,8 +138,8 @@ def repetition_stats(documents: DataFrame, *, key: str = "id", text: str = "text
             table = shares(texts)
             names = [f.name for f in schema]
             arrays = [batch.column(i) for i in range(len(names))]
-            arrays += [pa.array(table[:, i]) for i in range(len(STATS))] + [pa.array(table[:, -1].astype(np.int64))]
-            yield pa.RecordBatch.from_arrays(arrays, names=[*names, *STATS, "letters"])
+            arrays += [pa.array(table[:, i]) for i in range(len(STATS))] + [pa.array(table[:, i].astype(np.int64)) for i in range(len(STATS), len(STATS) + 3)]
+            yield pa.RecordBatch.from_arrays(arrays, names=[*names, *STATS, "letters", "arabic", "latin"])
 
     return documents.select(key, *keep, F.col(text)).mapInArrow(run, spec)
 
@@ -146,7 +149,7 @@ def robust_outliers(vectors: DataFrame, columns: list[str], groups: list[str]) -
 
     Minimum covariance determinant by concentration steps that all groups take together: starting from medians and
     median deviations, each step keeps the SUPPORT share of a group's rows nearest to its centre and takes their mean
-    and covariance anew; a step is one quantile and one mean-and-product aggregate, both combined before the shuffle, so
+    and covariance anew; a step is one count by distance and one mean-and-product aggregate, both combined before the shuffle, so
     a group with a third of all rows is never gathered. Shares are transformed by the arc sine of their root, which
     evens out their spread. Groups under LEAST_ROWS, and groups whose centre is itself broken, use the estimate over all
     rows. Column names that begin with an underscore are reserved.
@@ -165,8 +168,12 @@ def robust_outliers(vectors: DataFrame, columns: list[str], groups: list[str]) -
     )
     fit = cut(start, "mcd-fit")
     for _ in range(STEPS):
-        near = both.join(fit, "_g").withColumn("_d", _distance(xs))
-        edge = near.groupBy("_g").agg(F.percentile_approx("_d", SUPPORT, 2000).alias("_e"))
+        # The quantile comes from counts in steps of two hundredths of the distance, which are cheap to combine.
+        near = both.join(fit, "_g").withColumn("_d", F.floor(F.log(_distance(xs) + 1e-6) * 50))
+        steps = near.groupBy("_g", "_d").agg(F.count("*").alias("_k"))
+        upto = F.sum("_k").over(Window.partitionBy("_g").orderBy("_d"))
+        total = F.sum("_k").over(Window.partitionBy("_g"))
+        edge = steps.withColumns({"_u": upto, "_t": total}).where(F.col("_u") >= SUPPORT * F.col("_t")).groupBy("_g").agg(F.min("_d").alias("_e"))
         kept = near.join(edge, "_g").where(F.col("_d") <= F.col("_e"))
         moments = kept.groupBy("_g").agg(
             F.count("*").alias("_n"), F.array(*[F.avg(c) for c in xs]).alias("_m"),
@@ -216,10 +223,9 @@ def repetitive(documents: DataFrame, *, key: str = "id", text: str = "text", gro
     none. `documents` has one row per `key`; null and empty texts have shares of 0 and are not rejected; an empty table
     gives an empty result; other columns are ignored.
     """
-    arabic = F.length(F.regexp_replace(F.coalesce(F.col(text), F.lit("")), "[^\\u0621-\\u064A\\u0671-\\u06D3]", ""))
-    latin = F.length(F.regexp_replace(F.coalesce(F.col(text), F.lit("")), "[^A-Za-z]", ""))
+    stats = repetition_stats(documents, key=key, text=text, keep=groups)
+    arabic, latin = F.col("arabic"), F.col("latin")
     language = F.when(arabic + latin == 0, "none").when(arabic >= 4 * latin, "arabic").when(latin >= 4 * arabic, "latin").otherwise("mixed")
-    named = documents.select(F.col(key), *[F.col(g) for g in groups], language.alias("language"), F.col(text))
-    stats = repetition_stats(named, key=key, text=text, keep=(*groups, "language"))
+    stats = stats.withColumn("language", language)
     scored = robust_outliers(stats, list(STATS), ["language", *groups])
     return scored.select(key, *groups, "language", *STATS, "letters", "d2", ((F.col("d2") > CUTOFF) & F.col("above")).alias("rejected"))
