@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clipweave.llm import cap, clusters, leakage, lookalike, neighbours, packing, rank, repetition, residue, splits
+from clipweave.llm import cap, clusters, leakage, lookalike, neighbours, packing, rank, repetition, residue, splits, sql
 from clipweave.sources.tables import clean_speaker, one_per_key, table, usable
 
 REPEATED_SHARE = 0.5
@@ -216,5 +216,9 @@ def oracle_sql() -> dict[str, str]:
     return {
         "p3_found": P3_CHUNKS_SQL + "SELECT id FROM marked WHERE NOT kept",
         "p3_capped": P3_CHUNKS_SQL + "SELECT id, speaker_id, kept FROM marked",
+        "p4_found": sql.P4,
+        "p5_found": sql.P5,
+        "p6_found": sql.P6,
         "p7_found": P7_SQL,
+        "p9_found": sql.P9,
     }
