@@ -177,7 +177,7 @@ def robust_outliers(vectors: DataFrame, columns: list[str], groups: list[str]) -
         kept = near.join(edge, "_g").where(F.col("_d") <= F.col("_e"))
         moments = kept.groupBy("_g").agg(
             F.count("*").alias("_n"), F.array(*[F.avg(c) for c in xs]).alias("_m"),
-            F.array(*[F.covar_pop(xs[i], xs[j]) for i in dims for j in dims]).alias("_c"),
+            F.array(*[F.avg(xs[i] * xs[j]) for i in dims for j in dims if i <= j]).alias("_c"),
         )
         fit = cut(moments.mapInPandas(_inverted, "_g string, _m array<double>, _p array<double>"), "mcd-fit")
     limit = float(np.arcsin(np.sqrt(SOUND_CENTRE)))
@@ -193,7 +193,8 @@ def robust_outliers(vectors: DataFrame, columns: list[str], groups: list[str]) -
 def _distance(xs: list[Column]) -> Column:
     n = len(xs)
     diff = [x - F.col("_m")[i] for i, x in enumerate(xs)]
-    return sum((diff[i] * diff[j] * F.col("_p")[i * n + j] for i in range(n) for j in range(n)), F.lit(0.0))
+    # The inverse is symmetric: each pair of unequal directions counts twice.
+    return sum((diff[i] * diff[j] * F.col("_p")[i * n + j] * (1.0 if i == j else 2.0) for i in range(n) for j in range(i, n)), F.lit(0.0))
 
 
 def _inverted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -202,9 +203,11 @@ def _inverted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
     for b in batches:
         out = []
-        for c in b["_c"]:
-            n = int(round(len(c) ** 0.5))
-            cov = np.array(c, float).reshape(n, n)
+        for m, c in zip(b["_m"], b["_c"]):
+            n = len(m)
+            second = np.zeros((n, n))
+            second[np.triu_indices(n)] = c
+            cov = second + np.triu(second, 1).T - np.outer(m, m)
             # Wilson-Hilferty quantiles of chi square give the consistency factor of the kept share.
             z = NormalDist().inv_cdf(SUPPORT)
             q = n * (1 - 2 / (9 * n) + z * (2 / (9 * n)) ** 0.5) ** 3
