@@ -180,3 +180,16 @@ def safe_name(name: Column, most: int = 120) -> Column:
 def word_counts(text: Column) -> Column:
     """Arabic content words of three letters or more, tags stripped."""
     return F.regexp_extract_all(strip_tags(text), F.lit(r"([ء-ي]{3,})"), F.lit(1))
+
+
+def parse_segments(lines: Column) -> Column:
+    """Lines "start end speaker" as an array of structs, by start, end and speaker; other lines are left out."""
+    parts = F.transform(lines, lambda x: F.split(F.trim(x), r"\s+"))
+    sound = F.filter(parts, lambda p: (F.size(p) == 3) & F.try_element_at(p, F.lit(1)).try_cast("double").isNotNull() & F.try_element_at(p, F.lit(2)).try_cast("double").isNotNull())
+    return F.sort_array(F.transform(sound, lambda p: F.struct(p[0].cast("double").alias("start"), p[1].cast("double").alias("end"), p[2].alias("speaker"))))
+
+
+def archived_id(line: Column) -> Column:
+    """The second of exactly two words of an archive line, else null."""
+    parts = F.split(F.trim(line), r"\s+")
+    return F.when(F.size(parts) == 2, parts[1])

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from clipweave.operators import joins, rules, select, stats
+from clipweave.operators import joins, rules, segment, select, stats
 from clipweave.plans.base import CLIPS_SQL, JUDGED_SQL, TRANSCRIPTS_SQL, VIDEOS_SQL, clips, judged, transcripts, videos
 from clipweave.sources.tables import table
 
@@ -317,3 +317,24 @@ def publish_projection(spark, folder):
     """What is published of a clip: tagged text falls back to the plain one, missing tags are none."""
     joined = clips(spark, folder).join(transcripts(spark, folder).where("ok"), "id")
     return joined.select("id", "duration", "speaker_id", "gender", "text", F.coalesce(F.nullif("text_tagged", F.lit("")), "text").alias("text_tagged"), F.coalesce(F.array_join("tags", "|"), F.lit("")).alias("tags"))
+
+
+@query(f"""WITH {CLIPS_SQL}, r AS (SELECT id, row_number() OVER (ORDER BY md5('0' || chr(1) || id), id) AS k, count(*) OVER () AS n FROM clips) SELECT id, CASE WHEN k <= floor(n * 0.005::DOUBLE) THEN 'validation' ELSE 'train' END AS split FROM r""")
+def validation_split(spark, folder):
+    """A two-hundredth of the clips in seeded order for validation."""
+    return segment.validation_split(clips(spark, folder).select("id"), 0.005)
+
+
+@query(f"""WITH {VIDEOS_SQL}, v AS (SELECT id, duration * 0.05::DOUBLE AS l, greatest(duration * 0.05::DOUBLE, duration * 0.95::DOUBLE - 10) AS h FROM video WHERE duration > 0), x AS (SELECT id, l, h, unnest(range(0, 6)) AS n FROM v)
+SELECT id, CAST(n AS INTEGER) AS n, round(l + (h - l) * n / 5.0::DOUBLE, 3) AS start FROM x""")
+def probe_windows(spark, folder):
+    """Six windows spread over every video, to be probed for music."""
+    return segment.probe_windows(videos(spark, folder))
+
+
+@query(f"""WITH {CLIPS_SQL}, s AS (SELECT id, min(split) AS split FROM draft_splits GROUP BY id)
+SELECT split, count(*) AS clips, round(sum(coalesce(ms, 0)) / {_H}::DOUBLE, 6) AS hours, count(DISTINCT speaker_id) AS speakers FROM clips JOIN s USING (id) GROUP BY split""")
+def split_summary(spark, folder):
+    """Clips, hours and speakers of every split of the earlier assignment."""
+    s = table(spark, folder, "draft_splits").groupBy("id").agg(F.min("split").alias("split"))
+    return clips(spark, folder).join(s, "id").groupBy("split").agg(F.count("*").alias("clips"), stats.hours().alias("hours"), F.count_distinct("speaker_id").alias("speakers"))
