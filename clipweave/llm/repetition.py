@@ -26,8 +26,10 @@ STEPS = 4
 CUTOFF = 18.467
 #: Standard deviation, in transformed units, below which no direction counts as narrower.
 FLOOR = 0.06
-#: A group whose robust centre has a repeated share above this is broken as a whole and measured by the common estimate.
+#: A group is broken as a whole, and measured by the common estimate, if its robust centre has a repeated share above the
+#: first, or its spread is so wide that a share above the second would still pass.
 SOUND_CENTRE = 0.25
+SOUND_REACH = 0.5
 
 
 def shares(texts: list[str]) -> np.ndarray:
@@ -179,13 +181,17 @@ def robust_outliers(vectors: DataFrame, columns: list[str], groups: list[str]) -
             F.count("*").alias("_n"), F.array(*[F.avg(c) for c in xs]).alias("_m"),
             F.array(*[F.avg(xs[i] * xs[j]) for i in dims for j in dims if i <= j]).alias("_c"),
         )
-        fit = cut(moments.mapInPandas(_inverted, "_g string, _m array<double>, _p array<double>"), "mcd-fit")
-    limit = float(np.arcsin(np.sqrt(SOUND_CENTRE)))
+        fit = cut(moments.mapInPandas(_inverted, "_g string, _m array<double>, _p array<double>, _s double"), "mcd-fit")
+    limit, reach = (float(np.arcsin(np.sqrt(x))) for x in (SOUND_CENTRE, SOUND_REACH))
     common = fit.where("_g = ''").first()  # one row of a few numbers
     if common is None:
         return vectors.select("*", F.lit(0.0).alias("d2"), F.lit(False).alias("above"))
-    own = fit.where((F.col("_g") != "") & (F.col("_m")[0] <= limit))
-    default = {c: F.array(*[F.lit(float(v)) for v in common[c]]) for c in ("_m", "_p")}
+    # No distance is less than that along the first statistic alone, so this bounds what a group lets pass.
+    own = fit.where((F.col("_g") != "") & (F.col("_m")[0] <= limit) & (F.col("_m")[0] + float(np.sqrt(CUTOFF)) * F.col("_s") <= reach)).drop("_s")
+    # The common estimate is drawn in as far as a corpus with very many broken documents demands.
+    centre = [min(common["_m"][0], limit), *common["_m"][1:]]
+    scale = max(1.0, float(np.sqrt(CUTOFF)) * common["_s"] / (reach - centre[0])) ** 2
+    default = {c: F.array(*[F.lit(float(v)) for v in x]) for c, x in (("_m", centre), ("_p", [scale * v for v in common["_p"]]))}
     used = rows.join(own, "_g", "left").withColumns({c: F.coalesce(F.col(c), d) for c, d in default.items()})
     return used.select(*vectors.columns, _distance(xs).alias("d2"), (F.col("_x0") > F.col("_m")[0]).alias("above"))
 
@@ -214,8 +220,9 @@ def _inverted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             inner = n + 2
             zi = ((q / inner) ** (1 / 3) - (1 - 2 / (9 * inner))) / (2 / (9 * inner)) ** 0.5
             factor = SUPPORT / NormalDist().cdf(zi)
-            out.append(np.linalg.inv(cov * factor + FLOOR**2 * np.eye(n)).ravel().tolist())
-        yield pd.DataFrame({"_g": b["_g"], "_m": b["_m"], "_p": out})
+            wide = cov * factor + FLOOR**2 * np.eye(n)
+            out.append((np.linalg.inv(wide).ravel().tolist(), float(np.sqrt(wide[0, 0]))))
+        yield pd.DataFrame({"_g": b["_g"], "_m": b["_m"], "_p": [p for p, _ in out], "_s": [s for _, s in out]})
 
 
 def repetitive(documents: DataFrame, *, key: str = "id", text: str = "text", groups: tuple[str, ...] = ("source",)) -> DataFrame:

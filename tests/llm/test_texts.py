@@ -73,6 +73,15 @@ def test_a_group_broken_as_a_whole_is_still_rejected(spark):
     assert got.where("source = 'bad' AND NOT rejected").count() == 0
 
 
+@pytest.mark.parametrize("share", [0.3, 0.5, 0.7])
+def test_however_many_of_a_group_loop_the_loops_are_rejected(spark, share):
+    sound = [(d[0], d[1]) for d in documents(spark) if not d[3]]
+    data = [(i, t, "main") for i, t in sound] + [(10_000 + i, t, "small") for i, t in sound[: int(100 * (1 - share))]]
+    data += [(20_000 + i, " ".join(t.split()[:3]) + "desert" * 12, "small") for i, (_, t) in enumerate(sound[: int(100 * share)])]
+    got = repetition.repetitive(spark.createDataFrame(data, "id long, text string, source string"))
+    assert got.where("repeated >= 0.5").count() == int(100 * share) and got.where("repeated >= 0.5 AND NOT rejected").count() == 0
+
+
 def test_repetition_takes_odd_input(spark):
     df = spark.createDataFrame([(1, None, None), (2, "", "s"), (3, "[tag]", "s"), (4, "ab " * 30_000, "s")], "id long, text string, source string")
     got = {r["id"]: r for r in repetition.repetitive(df).collect()}
