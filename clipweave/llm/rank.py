@@ -95,8 +95,24 @@ def _running(sums: DataFrame) -> DataFrame:
 
 
 def head(ranking: DataFrame, share: float, *, key: str = "id", by: str = "stationarity") -> DataFrame:
-    """The best `share` of a ranking, rounded down; ties at the end go to the smaller key."""
+    """The best `share` of a ranking, rounded down; ties at the end go to the smaller key.
+
+    Two approximate quantiles on either side of the end are counted exactly: what lies above the upper one is in, and only
+    what lies between them is put in order. If the end isn't between them, they are moved apart.
+    """
+    # Digits that rounds of summing can differ in are cut off, so that equal items tie whatever the order of the sums.
     n = ranking.count()
     take = int(n * share + 1e-9)
-    # Digits that rounds of summing can differ in are cut off, so that equal items tie whatever the order of the sums.
-    return ranking.orderBy(F.round(F.col(by) * n, 9).desc(), key).limit(take)
+    rounded = ranking.withColumn("_v", F.round(F.col(by) * n, 9))
+    if not take:
+        return ranking.limit(0)
+    slack = max(1e-4, share / 100)
+    while True:
+        ends = [max(0.0, 1 - share - slack), min(1.0, 1 - share + slack)]
+        low, high = rounded.agg(F.percentile_approx("_v", ends, int(min(10_000_000, 4 / slack)))).first()[0]
+        above, within = rounded.agg(F.count_if(F.col("_v") > high), F.count_if(F.col("_v") >= low)).first()
+        if above <= take <= within or slack > 1:
+            break
+        slack *= 4
+    end = rounded.where((F.col("_v") <= high) & (F.col("_v") >= low)).orderBy(F.desc("_v"), key).limit(take - above)
+    return rounded.where(F.col("_v") > high).unionByName(end).drop("_v")
