@@ -25,8 +25,8 @@ SAMPLED_PER_BRANCH = 32
 LEAVES_HELD = 30_000
 #: Trees merged by one task at a time.
 FAN_IN = 32
-#: Branches in which a leaf meets the leaves of other branches.
-MEETINGS = 3
+#: Branches in which a leaf meets the leaves of other branches. Leaves of few rows point a little aside, so three are too few.
+MEETINGS = 12
 #: Rows assigned by one task; larger branches are dealt to several tasks, each with all centres of the branch.
 ASSIGNED = 20_000
 
@@ -197,25 +197,31 @@ def similarity_clusters(records: DataFrame, *, key: str = "id", column: str = "s
         for batch in batches:
             ls = V.binary_rows(batch.column(2), np.float32, dims)
             if len(ls):
-                unit = ls / np.maximum(np.sqrt(np.einsum("ij,ij->i", ls, ls)), 1e-9)[:, None]
+                mean = ls / batch.column(1).to_numpy()[:, None]
+                unit = mean / np.maximum(np.sqrt(np.einsum("ij,ij->i", mean, mean)), 1e-9)[:, None]
                 tops = V.top_cells(unit, shared.value, MEETINGS)
-                own = batch.column(3).to_numpy()
+                own, packed = batch.column(3).to_numpy(), V.pack(mean)
                 for p in range(tops.shape[1]):
-                    yield pa.RecordBatch.from_arrays([pa.array(tops[:, p].astype(np.int32)), pa.array(own), batch.column(1), batch.column(2)], names=["meeting", "leaf", "n", "ls"])
+                    yield pa.RecordBatch.from_arrays([pa.array(tops[:, p].astype(np.int32)), pa.array(own), batch.column(1), packed], names=["meeting", "leaf", "n", "mean"])
 
     def agglomerate(table: pa.Table) -> pa.Table:
-        leaf, n_ = table["leaf"].to_numpy(), table["n"].to_numpy()
+        leaf = table["leaf"].to_numpy()
         order = np.argsort(leaf)
-        ls = V.binary_rows(table["ls"], np.float32, dims)[order]
+        leaf, n_ = leaf[order], table["n"].to_numpy()[order]
+        means = V.binary_rows(table["mean"], np.int16, dims)[order].astype(np.float32) / V.SCALE
         u, v = [], []
-        for part in _parts(ls / n_[order][:, None], similar):
-            group = ward_groups(ls[part], n_[order][part], similar)
-            u.append(leaf[order][part])
-            v.append(leaf[order][part][group])
+        for part in _parts(means, similar):
+            if len(part) > 1:
+                group = ward_groups(means[part] * n_[part][:, None], n_[part], similar)
+                u.append(leaf[part])
+                v.append(leaf[part][group])
+            else:
+                u.append(leaf[part])
+                v.append(leaf[part])
         return pa.table({"u": pa.array(np.concatenate(u)), "v": pa.array(np.concatenate(v))})
 
-    met = leaves.select("branch", "n", "ls", "leaf").mapInArrow(meet, "meeting int, leaf bigint, n double, ls binary")
-    links = met.groupBy("meeting").applyInArrow(agglomerate, "u bigint, v bigint")
+    met = leaves.select("branch", "n", "ls", "leaf").mapInArrow(meet, "meeting int, leaf bigint, n double, mean binary")
+    links = met.groupBy("meeting").applyInArrow(agglomerate, "u bigint, v bigint").distinct()
     _, clusters = spanning_forest(cut(links, "cf-links"))
     joined = leaves.join(clusters.select(F.col("vertex").alias("leaf"), F.col("root").alias("cluster")), "leaf")
     named = cut(joined.select("branch", "cluster", "n", "ls"), "cf-clusters")
@@ -243,8 +249,8 @@ def similarity_clusters(records: DataFrame, *, key: str = "id", column: str = "s
     centres = ordered.mapInArrow(total, "cluster bigint, centre binary")
     shares = {r["branch"]: int(-(-r["n"] // assigned)) for r in named.groupBy("branch").agg(F.sum("n").alias("n")).collect()}  # MOST_BRANCHES rows at most
     hands = np.array([max(1, shares.get(b, 1)) for b in range(len(roots))], np.int64)
-    hand_list = F.sequence(F.lit(0), F.get(F.array(*[F.lit(int(h) - 1) for h in hands]), F.col("branch")))
-    offered = named.select("branch", "cluster").distinct().join(centres, "cluster").select("branch", F.explode(hand_list).alias("hand"), "cluster", "centre")
+    dealt = spark.createDataFrame([(b, h) for b, count in enumerate(hands.tolist()) for h in range(count)], "branch int, hand int")
+    offered = named.select("branch", "cluster").distinct().join(centres, "cluster").join(dealt, "branch").select("branch", "hand", "cluster", "centre")
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
