@@ -195,7 +195,7 @@ def residue_messages(documents: DataFrame, *, key: str = "doc_id", text: str = "
                 names=[key, "source", "rule", "message", "digest", "strong", "alone"],
             )
 
-    picked = documents.select(F.col(key), F.col(source).cast("string").alias("source"), F.col(text))
+    picked = documents.where(F.col(key).isNotNull()).select(F.col(key), F.col(source).cast("string").alias("source"), F.col(text))
     return picked.mapInArrow(run, f"`{key}` {kind}, source string, rule string, message string, digest binary, strong boolean, alone boolean")
 
 
@@ -209,7 +209,8 @@ def residue(documents: DataFrame, *, key: str = "doc_id", text: str = "text", so
     Numbers, addresses, dates and identifiers are masked and equal messages grouped by hash across sources. A message
     that only a template, a server or a browser says is residue wherever it stands; a bare phrase is residue where a
     document consists of it, or where it recurs word for word as a line of its own in WIDE sources or more. Null and
-    empty texts hold nothing; a null source counts as one source; repeated rows of a key count once.
+    empty texts hold nothing, rows without a key are left out; a null source counts as one source; repeated rows of a key
+    count once.
     """
     held = cut(residue_messages(documents, key=key, text=text, source=source).distinct(), "residue")
     spread = held.select("digest", F.coalesce("source", F.lit("")).alias("source")).distinct().groupBy("digest").agg(F.count("*").alias("sources"))
