@@ -11,6 +11,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 _local_scratch: str | None = None
+_cuts: list[str] = []
 
 
 def build_session(app: str = "clipweave", master: str | None = None, **conf: str) -> SparkSession:
@@ -69,6 +70,7 @@ def cut(df: DataFrame, name: str = "cut") -> DataFrame:
     spark = df.sparkSession
     path = f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _cuts.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -87,3 +89,11 @@ def drop_cut(df: DataFrame) -> None:
         fs, path = qualified(folder)
         if path.toString().startswith(base):
             fs.delete(path, True)
+
+
+def clear_cuts(spark: SparkSession) -> None:
+    """Delete all tables cut so far by this driver; frames that still refer to them can't be read any more."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    while _cuts:
+        path = jvm.org.apache.hadoop.fs.Path(_cuts.pop())
+        path.getFileSystem(conf).delete(path, True)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from clipweave.functions import text as T
 from clipweave.operators import joins, rules, select, speakers, stats
 from clipweave.operators import timeseries as ts
-from clipweave.session import cut, drop_cut
+from clipweave.session import clear_cuts, cut, drop_cut
 
 
 def greedy_cap(clips, cap):
@@ -156,3 +156,7 @@ def test_cut_reads_back_and_can_be_dropped(spark):
     drop_cut(df)
     with pytest.raises(Exception):
         df.count()
+    kept = cut(spark.range(3), "test")
+    clear_cuts(spark)
+    with pytest.raises(Exception):
+        kept.count()
