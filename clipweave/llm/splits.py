@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from clipweave.session import cut
+from clipweave.session import cut, drop_cut
 
 #: Roots of one stratum numbered by one task; larger strata are dealt in several shuffled hands.
 HAND = 20_000
@@ -51,11 +51,12 @@ def spanning_forest(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
         ends = live.select(F.col("a").alias("c"), F.col("b").alias("o"), edge.alias("e")).unionByName(
             live.select(F.col("b").alias("c"), F.col("a").alias("o"), edge.alias("e"))
         )
-        # The hash packs the order into one number, so the least edge is found by hash aggregation with partial minima.
+        # Minima are taken before the shuffle too: a hub with a third of all edges sends a row per task.
         least = cut(ends.groupBy("c").agg(F.min_by("o", "e").alias("o"), F.min("e").alias("e")), "forest-least")
         chosen = least.select("e.u", "e.v").distinct()
         forest = cut(chosen if forest is None else forest.unionByName(chosen), "forest")
         parent = _jump(_break_pairs(least.select("c", F.col("o").alias("p"))))
+        before = (live, roots, least)
         roots = cut(
             roots.join(parent.withColumnRenamed("c", "root"), "root", "left").select("vertex", F.coalesce("p", "root").alias("root")),
             "forest-roots",
@@ -65,6 +66,8 @@ def spanning_forest(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
         )
         moved = moved.where("pa <> pb").select("w", "u", "v", F.least("pa", "pb").alias("a"), F.greatest("pa", "pb").alias("b"))
         live = cut(moved.groupBy("a", "b").agg(F.min(F.struct("w", "u", "v")).alias("e")).select("e.w", "e.u", "e.v", "a", "b"), "forest-edges")
+        for old in (*before, parent):
+            drop_cut(old)
     if forest is None:
         forest = live.select("u", "v")
     return forest, roots
@@ -82,6 +85,7 @@ def _jump(parent: DataFrame) -> DataFrame:
     while True:
         up = parent.select(F.col("c").alias("p"), F.col("p").alias("pp"))
         nxt = cut(parent.join(up, "p", "left").select("c", F.coalesce("pp", "p").alias("n"), "p"), "forest-parent")
+        drop_cut(parent)
         done = not nxt.where("n <> p").limit(1).count()
         parent = nxt.select("c", F.col("n").alias("p"))
         if done:
