@@ -7,6 +7,9 @@ import re
 import unicodedata
 from collections.abc import Iterator
 from functools import cache
+from itertools import product
+from re import _constants as sre
+from re import _parser as sre_parser
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -64,7 +67,7 @@ STRONG = {
         rf"|(?:يجب|يلزم|يرجى|برجاء|لازم) (?:تفعيل|تشغيل|تمكين) {_JS}|(?:من فضلك|رجاء|يرجى) \w{{2,6}} {_JS} (?:علشان|عشان|حتى|لكي|ل)|متصفحك (?:لا يدعم|مش بيدعم|لا يشغل|مابيدعمش) {_JS}"
     ),
     "error": re.compile(
-        r"\berror \d{3}\s*[:\-–]\s*\w|\bhttp(?:/[\d.]+)? \d{3}\b|\b(?:the|this) \w+ (?:(?:you|at|that)\b[\w ]{0,40}? )?(?:cannot|can't|could not|can not|was not|wasn't) (?:be )?(?:found|loaded)\b\W*(?:\(|$|\n)"
+        r"\berror \d{3}\s*[:\-–]\s*\w|\bhttp/[\d.]+ \d{3}\b|\bhttp \d{3}\b|\b(?:the|this) \w+ (?:(?:you|at|that)\b[\w ]{0,40}? )?(?:cannot|can't|could not|can not|was not|wasn't) (?:be )?(?:found|loaded)\b\W*(?:\(|$|\n)"
         r"|\b(?:failed|could not|unable|cannot) (?:to )?connect to the \w+ (?:server|database|host)|\bserver timed out\b|\b(?:fatal error|notice|warning|parse error): (?:undefined|uncaught|unexpected)\b|\btraceback \(most recent call last\)"
         r"|\[object object\]|\baccess (?:to this \w+ )?(?:is|was|has been) (?:refused|denied|blocked|forbidden)\b(?:\.|,|:)? *(?:incident|event|ray|reference|ref|id|ticket|$)|\btoo many requests(?: from your|\. (?:wait|slow|please|try))|\bthis \w+ is (?:private|no longer available|not available any ?more)\b(?:\.|$)|\byour session (?:has|is|was) (?:expired|ended|timed out|closed)"
         r"|\bsomething (?:went wrong|failed|broke) (?:on|at) our (?:side|end)\b|\b(?:this|the) \w+ is (?:down|closed|offline|unavailable) for (?:\w+ )?(?:maintenance|repairs|upgrades?)\b|\bis (?:not available|unavailable) in your (?:country|region|area)\b"
@@ -81,30 +84,83 @@ WEAK = re.compile(
 )
 # Links of a page's frame, which say nothing about the content.
 FRAME = re.compile(r"home \| episodes \| about|menu\s+search\s+login|back to home|\bretry\b|الرئيسية \| الحلقات \| اتصل بنا|الرجوع للصفحة الرئيسية")
-# Literal pieces, single words where possible since blanks vary (~ is one blank), one of which every rule needs. A document
-# without any of them is passed by in one scan.
-TRIGGERS = (
-    "{ % < [ « __ # todo lorem ipsum xxx xx~ foo qwer asdf blah placeholder sample~text dummy filler replace~this written go~here goes~here sample~par replaced~ filled~ inserted~ error http:// http/ http~ "
-    "could~not cannot can't wasn't was~not unable failed timed fatal undefined traceback object refused denied blocked forbidden requests session went~wrong broke~ your~browser private any~more anymore no~longer ~gone maintenance for~repairs "
-    "upgrade unavailable not~available verify confirm prove~that prove~you not~found gateway unauthorized javascript java~script noscript ~scripts ~js~ null nan untitled tbd tba "
-    "coming~soon تجريبي مؤقت شكلي بديل يكتب يوضع يضاف مساحة يستبدل استبداله جافا سكربت سكريبت متصفحك المطلوب اتشالت متاح متوفر شغال~ شغالة موجود لم~تعد لم~يعد متوقع "
-    "الصيانة مشغول متوقف يستجيب مسموح مصرح"
-).split(" ")
-TRIGGERS = [t.replace("~", " ") for t in TRIGGERS if t]
+BLIND = re.compile(r"(?:\bx{2,}\b\W*){5,}")
+#: Strings that one part of a rule may be told apart by; more are given up for the next part.
+MOST_PIECES = 64
+#: Pieces that many texts hold, taken for a rule only where it has no others.
+COMMON = set("is are to off add type your the need enter only if ل لكي حتى عشان علشان ضع أضف ادخل أدخل اكتب هنا لاحقا رجاء يرجى الموقع المقطع الحلقة الصفحة الفيديو التسجيل".split())
+
+
+def _better(a: set[str] | None, b: set[str] | None) -> set[str] | None:
+    """Of two sets of pieces the one whose shortest uncommon piece is longer; an empty piece or a line break tells nothing."""
+    fit = [x for x in (a, b) if x and all(x) and not any("\n" in t for t in x)]
+    return max(fit, key=lambda x: (min(0 if t.strip() in COMMON else len(t) for t in x), -len(x)), default=None)
+
+
+def _parts(parsed) -> tuple[set[str] | None, set[str] | None]:
+    """(every string a parsed expression matches, None if too many; strings of which every match holds one, None if unknown)."""
+    whole, exact, best = True, {""}, None
+    for op, arg in parsed:
+        own, some = _part(op, arg)
+        if own is not None and len(exact) * len(own) <= MOST_PIECES:
+            exact = {a + b for a in exact for b in own}
+        else:
+            whole, best, exact = False, _better(best, exact), own if own is not None else {""}
+        best = _better(best, some)
+    return exact if whole else None, _better(best, exact)
+
+
+def _part(op, arg) -> tuple[set[str] | None, set[str] | None]:
+    if op is sre.LITERAL:
+        return {chr(arg)}, None
+    if op in (sre.AT, sre.ASSERT, sre.ASSERT_NOT):
+        return {""}, None
+    if op is sre.IN and all(kind is sre.LITERAL for kind, _ in arg):
+        return {chr(c) for _, c in arg}, None
+    if op is sre.SUBPATTERN:
+        return _parts(arg[3])
+    if op is sre.BRANCH:
+        owns, somes = zip(*map(_parts, arg[1]))
+        own = set().union(*owns) if None not in owns else None
+        return own if own and len(own) <= MOST_PIECES else None, set().union(*somes) if None not in somes else None
+    if op in (sre.MAX_REPEAT, sre.MIN_REPEAT):
+        least, most, inner = arg
+        own, some = _parts(inner)
+        if not least:
+            return own | {""} if own and most == 1 else None, None
+        times = {"".join(x) for x in product(own, repeat=least)} if own and len(own) ** least <= MOST_PIECES else None
+        return times if least == most else None, _better(times, some)
+    return None, None
+
+
+def pieces(rule: re.Pattern) -> set[str]:
+    """Literal pieces one of which is in whatever the rule matches, read off the parsed rule itself."""
+    found = _parts(sre_parser.parse(rule.pattern))[1]
+    if not found:
+        raise ValueError(f"no literal piece is common to what {rule.pattern[:60]!r} matches")
+    return found
 
 
 @cache
 def _scanner():
-    """All trigger pieces as one automaton."""
+    """The literal pieces of all rules as one automaton."""
     import ahocorasick
 
     a = ahocorasick.Automaton()
-    for t in TRIGGERS:
+    for t in set().union(*map(pieces, (PLACEHOLDERS, BLIND, WEAK, *STRONG.values()))):
         a.add_word(t, t)
     a.make_automaton()
     return a
 
 
+def _may_hold(tidy: str) -> bool:
+    """False only where no rule can match: no literal piece of a rule, and not the three kinds of words of a filler run."""
+    if next(_scanner().iter(tidy), None):
+        return True
+    words = set(re.findall(r"\w+", tidy))
+    return len(words & LOREM) > 2 or len(words & MASHED) > 2
+
+
 def _tidy(text: str) -> str:
     """Lower case, compatibility form, without vowel marks and characters that have no glyph; line breaks stay."""
     if not text.isascii():
@@ -141,7 +197,7 @@ def messages(text: str) -> list[tuple[str, str, bool, bool]]:
     are left of the text beside the message, or, for a weak phrase, the message is a line of its own (then not strong).
     """
     tidy = _tidy(text)
-    if not tidy.strip():
+    if not tidy.strip() or not _may_hold(tidy):
         return []
     found: list[tuple[str, str, bool, bool]] = []
     for m in PLACEHOLDERS.finditer(tidy):
@@ -155,7 +211,7 @@ def messages(text: str) -> list[tuple[str, str, bool, bool]]:
         found.append(("filler", "lorem", True, False))
     if _filler_run(words, MASHED):
         found.append(("filler", "mashed", True, False))
-    if re.search(r"(?:\bx{2,}\b\W*){5,}", tidy):
+    if BLIND.search(tidy):
         found.append(("filler", "blind", True, False))
     bare = FRAME.sub("\n", tidy)
     total = len(re.findall(r"\w+", bare))
@@ -174,17 +230,17 @@ def messages(text: str) -> list[tuple[str, str, bool, bool]]:
 def residue_messages(documents: DataFrame, *, key: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
     """(`key`, source, rule, message, digest, strong, alone): every message that some rule may call residue.
 
-    All texts are scanned whole, by one automaton of the literal pieces the rules need; the rules run where one occurs.
+    All texts are scanned whole, in the form the rules see, by one automaton of literal pieces read off the rules; the rules
+    run where one occurs.
     """
     kind = documents.schema[key].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scanner = _scanner()
         for batch in batches:
             rows: list[tuple] = []
             keys, sources = batch.column(0), batch.column(1).to_pylist()
             for i, t in enumerate(batch.column(2).to_pylist()):
-                if t and next(scanner.iter(_folded(t)), None):
+                if t:
                     for rule, message, strong, alone in dict.fromkeys(messages(t)):
                         digest = hashlib.blake2b(f"{rule}\0{message}".encode("utf-8", "surrogatepass"), digest_size=16).digest()
                         rows.append((i, sources[i], rule, message, digest, strong, alone))
@@ -199,10 +255,6 @@ def residue_messages(documents: DataFrame, *, key: str = "doc_id", text: str = "
     return picked.mapInArrow(run, f"`{key}` {kind}, source string, rule string, message string, digest binary, strong boolean, alone boolean")
 
 
-def _folded(text: str) -> str:
-    return text.lower() if text.isascii() else unicodedata.normalize("NFKC", text).lower()
-
-
 def residue(documents: DataFrame, *, key: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
     """(`key`, rule, message, sources): the documents that hold residue, with what they hold and in how many sources it recurs.
 

@@ -253,3 +253,26 @@ def test_residue_tells_messages_from_talk(spark):
 def test_residue_counts_sources_of_masked_messages(spark):
     df = spark.createDataFrame([(i, f"Sorry, something broke on our end. Ticket no. {n}", s) for i, (n, s) in enumerate([("456292", "a"), ("0812aa", "b"), ("1", None)])], "doc_id long, text string, source string")
     assert {r["sources"] for r in residue.residue(df).collect()} == {3}
+
+
+#: Pieces that no list of triggers named: filler without its first words, notices at the start, bare codes, marks within a word.
+UNLISTED = [
+    "Sed do eiusmod tempor incididunt ut labore", "Ut enim ad minim veniam, quis nostrud", "Scripts are required.", "JS is required", "400 Bad Request", "N/A",
+    "This is some\u200b sam\u200bple content", "err\u200bor 502: oops", "هـــذا نَصّ مُؤَقَّت",
+]
+RULES = [residue.PLACEHOLDERS, residue.BLIND, residue.WEAK, *residue.STRONG.values()]
+
+
+def test_scanner_passes_the_examples_of_the_rules(spark):
+    assert [t for t in RESIDUE + UNLISTED if not residue._may_hold(residue._tidy(t))] == []
+    df = spark.createDataFrame([*enumerate(UNLISTED)], "doc_id long, text string").selectExpr("*", "'s' AS source")
+    got = {r["doc_id"] for r in residue.residue(df).collect()}
+    assert [t for i, t in enumerate(UNLISTED) if i not in got] == []
+
+
+@settings(max_examples=1000, deadline=None)
+@given(st.one_of([st.from_regex(r) for r in RULES]))
+def test_scanner_passes_whatever_a_rule_matches(text):
+    tidy = residue._tidy(text)
+    if any(r.search(line) for r in RULES for line in [tidy, *tidy.split("\n")]):
+        assert residue._may_hold(tidy)
