@@ -189,46 +189,47 @@ def _filler_run(words: list[str], vocabulary: set[str]) -> bool:
     return False
 
 
-def messages(text: str) -> list[tuple[str, str, bool, bool]]:
-    """(rule, masked message, strong, alone) of every piece of residue a text may hold.
+def messages(text: str) -> list[tuple[str, str, bool, bool, bool]]:
+    """(rule, masked message, strong, alone, line) of every piece of residue a text may hold.
 
     A message is the line or sentence a phrase stands in; a placeholder is a message by itself, its name masked, so that
     the same form of field counts as one across documents. alone: nothing but the frame of a page and BESIDE words
-    are left of the text beside the message, or, for a weak phrase, the message is a line of its own (then not strong).
+    are left of the text beside the message. line: weak phrases make up all words of their line.
     """
     tidy = _tidy(text)
     if not tidy.strip() or not _may_hold(tidy):
         return []
-    found: list[tuple[str, str, bool, bool]] = []
+    found: list[tuple[str, str, bool, bool, bool]] = []
     for m in PLACEHOLDERS.finditer(tidy):
         tag = m.group("tag")
         if tag and (tag in PAGE_TAGS - {"summary", "link", "title"} or f"</{tag}" in tidy):
             continue
         form = re.sub(r"[^\W_][\w \-]*", "name", m.group(0))
-        found.append(("placeholder", form, True, False))
+        found.append(("placeholder", form, True, False, False))
     words = re.findall(r"\w+", tidy)
     if _filler_run(words, LOREM):
-        found.append(("filler", "lorem", True, False))
+        found.append(("filler", "lorem", True, False, False))
     if _filler_run(words, MASHED):
-        found.append(("filler", "mashed", True, False))
+        found.append(("filler", "mashed", True, False, False))
     if BLIND.search(tidy):
-        found.append(("filler", "blind", True, False))
+        found.append(("filler", "blind", True, False, False))
     bare = FRAME.sub("\n", tidy)
     total = len(re.findall(r"\w+", bare))
     for rule, phrases in STRONG.items():
         for m in phrases.finditer(bare):
-            found.append((rule, masked(m.group(0)), True, False))
+            found.append((rule, masked(m.group(0)), True, False, False))
     for line in bare.split("\n"):
         m = WEAK.search(line)
         if m:
             own = len(re.findall(r"\w+", m.group(0)))
             here = len(re.findall(r"\w+", line))
-            found.append(("error", masked(line), False, (total - own <= BESIDE) if total <= here + BESIDE else False))
+            line_of_own = sum(len(re.findall(r"\w+", p.group(0))) for p in WEAK.finditer(line)) == here
+            found.append(("error", masked(line), False, (total - own <= BESIDE) if total <= here + BESIDE else False, line_of_own))
     return found
 
 
 def residue_messages(documents: DataFrame, *, key: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
-    """(`key`, source, rule, message, digest, strong, alone): every message that some rule may call residue.
+    """(`key`, source, rule, message, digest, strong, alone, line): every message that some rule may call residue.
 
     All texts are scanned whole, in the form the rules see, by one automaton of literal pieces read off the rules; the rules
     run where one occurs.
@@ -241,18 +242,18 @@ def residue_messages(documents: DataFrame, *, key: str = "doc_id", text: str = "
             keys, sources = batch.column(0), batch.column(1).to_pylist()
             for i, t in enumerate(batch.column(2).to_pylist()):
                 if t:
-                    for rule, message, strong, alone in dict.fromkeys(messages(t)):
+                    for rule, message, strong, alone, line in dict.fromkeys(messages(t)):
                         digest = hashlib.blake2b(f"{rule}\0{message}".encode("utf-8", "surrogatepass"), digest_size=16).digest()
-                        rows.append((i, sources[i], rule, message, digest, strong, alone))
-            cols = list(zip(*rows)) if rows else [()] * 7
-            types = [pa.string(), pa.string(), pa.string(), pa.binary(), pa.bool_(), pa.bool_()]
+                        rows.append((i, sources[i], rule, message, digest, strong, alone, line))
+            cols = list(zip(*rows)) if rows else [()] * 8
+            types = [pa.string(), pa.string(), pa.string(), pa.binary(), pa.bool_(), pa.bool_(), pa.bool_()]
             yield pa.RecordBatch.from_arrays(
                 [keys.take(pa.array(cols[0], pa.int32())), *[pa.array(c, k) for c, k in zip(cols[1:], types)]],
-                names=[key, "source", "rule", "message", "digest", "strong", "alone"],
+                names=[key, "source", "rule", "message", "digest", "strong", "alone", "line"],
             )
 
     picked = documents.where(F.col(key).isNotNull()).select(F.col(key), F.col(source).cast("string").alias("source"), F.col(text))
-    return picked.mapInArrow(run, f"`{key}` {kind}, source string, rule string, message string, digest binary, strong boolean, alone boolean")
+    return picked.mapInArrow(run, f"`{key}` {kind}, source string, rule string, message string, digest binary, strong boolean, alone boolean, line boolean")
 
 
 def residue(documents: DataFrame, *, key: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
@@ -267,10 +268,5 @@ def residue(documents: DataFrame, *, key: str = "doc_id", text: str = "text", so
     held = cut(residue_messages(documents, key=key, text=text, source=source).distinct(), "residue")
     spread = held.select("digest", F.coalesce("source", F.lit("")).alias("source")).distinct().groupBy("digest").agg(F.count("*").alias("sources"))
     counted = held.join(spread, "digest")
-    is_line = F.size(F.split("message", r"\s+")) <= BESIDE
-    kept = counted.where(F.col("strong") | F.col("alone") | ((F.col("sources") >= WIDE) & is_line & ~F.col("strong") & F.col("message").rlike(LINE_RULE)))
+    kept = counted.where(F.col("strong") | F.col("alone") | (F.col("line") & (F.col("sources") >= WIDE)))
     return kept.select(key, "rule", "message", "sources").distinct()
-
-
-#: Fixed value: bare phrases that may count as a recurring line in a longer document, masked.
-LINE_RULE = r"^(error )?<n>:? (not found|forbidden|internal server error|bad gateway|gateway timeout|service unavailable|too many requests)$|^(page not found|access denied|service unavailable)$"

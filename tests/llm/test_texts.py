@@ -276,3 +276,13 @@ def test_scanner_passes_whatever_a_rule_matches(text):
     tidy = residue._tidy(text)
     if any(r.search(line) for r in RULES for line in [tidy, *tidy.split("\n")]):
         assert residue._may_hold(tidy)
+
+
+def test_any_weak_line_counts_where_it_recurs_across_sources(spark):
+    talk = "a long caption about something else altogether that people said on the day, and then some more of it"
+    lines = ["Error 404", "(401 Unauthorized)", "400 Bad Request", "410 Gone", "undefined undefined", "coming soon", "error 403 - forbidden"]
+    twice = [f"{talk}\n{x}\n{talk}" for x in lines for _ in "ab"]
+    others = [f"{talk}\nJavaScript\n{talk}", *[f"{talk}\nour error 404 page\n{talk}"] * 2]
+    df = spark.createDataFrame([(i, x, "ab"[i % 2]) for i, x in enumerate(twice + others)], "doc_id long, text string, source string")
+    got = {r["doc_id"] for r in residue.residue(df).collect()}
+    assert got == set(range(len(twice)))
