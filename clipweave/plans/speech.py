@@ -112,6 +112,13 @@ def cer_pairs(spark, folder):
     return t.select("id", F.round(T.cer(a, b), 6).alias("cer"))
 
 
+@query()
+def cer_pairs_whole(spark, folder):
+    """Edits per character between the plain and the tagged text, on all their characters, which SQL counts as bytes."""
+    t = transcripts(spark, folder).where("text IS NOT NULL AND text_tagged IS NOT NULL")
+    return t.select("id", F.round(T.cer(F.col("text"), F.col("text_tagged")), 6).alias("cer"))
+
+
 @query(f"WITH {TRANSCRIPTS_SQL}, w AS (SELECT unnest(regexp_extract_all({_BARE}, '[ء-ي]{{3,}}')) AS word FROM transcript WHERE text IS NOT NULL) SELECT word, count(*) AS n FROM w GROUP BY 1 ORDER BY n DESC, word LIMIT 40")
 def top_tokens(spark, folder):
     """The forty most frequent Arabic words: a top-k report."""

@@ -160,3 +160,22 @@ def test_cut_reads_back_and_can_be_dropped(spark):
     clear_cuts(spark)
     with pytest.raises(Exception):
         kept.count()
+
+
+def test_cer_of_whole_texts_equals_brute_force(spark, tmp_path):
+    from clipweave.plans import speech
+
+    def edits(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            new = [i]
+            for j, y in enumerate(b, 1):
+                new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (x != y)))
+            row = new
+        return row[-1]
+
+    pairs = [("السلام عليكم", "الكتاب قديم"), ("أنا رايح الـ meeting", "[happy] أنا رايح الـ meeting"), ("قهوة 😀", "قهوه 😀"), ("", "نص"), ("", ""), ("abc", "abd"), (None, "x"), ("x", None)]
+    spark.createDataFrame([(str(i), a, b) for i, (a, b) in enumerate(pairs)], "id string, text string, text_tagged string").selectExpr("*", "true AS ok", "array('') AS flags", "array('') AS tags", "'' AS backend", "1D AS chars_per_sec", "1D AS arabic_ratio").write.parquet(str(tmp_path / "transcripts.parquet"))
+    got = {r["id"]: r["cer"] for r in speech.QUERIES["cer_pairs_whole"](spark, str(tmp_path)).collect()}
+    want = {str(i): round(edits(a, b) / len(a), 6) if a else float(bool(b)) for i, (a, b) in enumerate(pairs) if a is not None and b is not None}
+    assert got == want and got["0"] == 0.5
