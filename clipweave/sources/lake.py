@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,24 +41,28 @@ def merge_failures(old: DataFrame, new: DataFrame) -> DataFrame:
     return upsert(a, b, "_k").drop("_k")
 
 
-def pack_shards(videos: DataFrame, most_bytes: int, *, key: str = "video_id", size: str = "bytes", block: int = 50_000) -> DataFrame:
+def pack_shards(videos: DataFrame, most_bytes: int, *, key: str = "video_id", size: str = "bytes") -> DataFrame:
     """(`key`, shard): whole videos in order of key, a shard closed as soon as it reaches `most_bytes`.
 
-    The count starts anew with every shard, which no window can say; one row per video is folded in order. Videos are
-    few beside their clips; more than `block` of them are folded in runs of that many, each starting its own shard.
+    The count starts anew with every shard, which no window can say; the rows, one per video, are sorted and folded in
+    batches by one task. A batch takes up the fill and the shard at which the one before it ended, so that the result is
+    that of one fold at every size. Null sizes count as 0.
     """
-    from pyspark.sql import Window
-
-    runs = F.floor((F.row_number().over(Window.orderBy(key)) - 1) / block)
-    listed = videos.select(F.col(key).alias("k"), F.col(size).cast("long").alias("b"), runs.alias("run")).groupBy("run").agg(F.sort_array(F.collect_list(F.struct("k", "b"))).alias("v"))
-    start = F.struct(F.lit(0).cast("long").alias("fill"), F.lit(0).cast("long").alias("no"), F.array().cast("array<struct<k:string,no:bigint>>").alias("out"))
-    folded = F.aggregate("v", start, lambda a, e: F.struct(
-        F.when(a["fill"] + e["b"] >= most_bytes, F.lit(0).cast("long")).otherwise(a["fill"] + e["b"]).alias("fill"),
-        F.when(a["fill"] + e["b"] >= most_bytes, a["no"] + 1).otherwise(a["no"]).alias("no"),
-        F.concat(a["out"], F.array(F.struct(e["k"].cast("string").alias("k"), a["no"].alias("no")))).alias("out"),
-    ), lambda a: a["out"])
-    placed = listed.select("run", F.explode(folded).alias("e")).select("run", F.col("e.k").alias("k"), F.col("e.no").alias("no"))
-    return placed.select(F.col("k").alias(key), F.dense_rank().over(Window.orderBy("run", "no")).alias("shard"))
+    kind = videos.schema[key].dataType.simpleString()
+    given = videos.select(F.col(key), F.coalesce(F.col(size).cast("long"), F.lit(0)).alias("b"))
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fill, no = 0, 1
+        for batch in batches:
+            shards = []
+            for b in batch.column(1).to_pylist():
+                shards.append(no)
+                fill += b
+                if fill >= most_bytes:
+                    fill, no = 0, no + 1
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(shards, pa.int32())], names=[key, "shard"])
+
+    return given.repartition(1).sortWithinPartitions(key).mapInArrow(fold, f"`{key}` {kind}, shard int")
 
 
 def write_shards(clips: DataFrame, shards: DataFrame, path: str, key: str = "video_id") -> None:

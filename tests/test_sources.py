@@ -64,6 +64,24 @@ def test_shards_hold_whole_videos_and_close_when_full(spark):
     assert lake.pack_shards(df.limit(0), 10).count() == 0
 
 
+def test_shards_stay_open_across_batches(spark):
+    sizes = [i * 7919 % 13 for i in range(50_011)]
+    fill, no, want = 0, 1, {}
+    for i, b in enumerate(sizes):
+        want[f"v{i:06}"] = no
+        fill += b
+        if fill >= 100:
+            fill, no = 0, no + 1
+    df = spark.createDataFrame([(f"v{i:06}", b) for i, b in enumerate(sizes)], "video_id string, bytes long")
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    try:
+        for most in ("10000", "777"):
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", most)
+            assert {r["video_id"]: r["shard"] for r in lake.pack_shards(df, 100).collect()} == want
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+
+
 def test_ledger_and_failures(spark, tmp_path):
     ledger = lake.Ledger(spark, str(tmp_path / "ledger"))
     assert ledger.done("a").count() == 0
