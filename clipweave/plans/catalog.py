@@ -97,9 +97,9 @@ def voice_prints(spark, folder):
 
 @query()
 def speaker_assign(spark, folder):
-    """Speakers across the videos of a channel, by average linkage of their voice prints."""
+    """Speakers across all videos, whatever their channels, by average linkage of their voice prints."""
     channel = clips(spark, folder).groupBy("video_id").agg(F.max("channel").alias("channel"))
-    return speakers.speakers_across(_voices(spark, folder).join(channel, "video_id"), block="channel").select("video_id", "local_speaker", "channel", "speaker")
+    return speakers.speakers_across(_voices(spark, folder).join(channel, "video_id")).select("video_id", "local_speaker", "channel", "speaker")
 
 
 _TOKENS = "unnest(regexp_extract_all(lower(text), '[ء-ي]{3,}|[a-z]{3,}'))"

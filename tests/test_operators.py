@@ -179,3 +179,26 @@ def test_cer_of_whole_texts_equals_brute_force(spark, tmp_path):
     got = {r["id"]: r["cer"] for r in speech.QUERIES["cer_pairs_whole"](spark, str(tmp_path)).collect()}
     want = {str(i): round(edits(a, b) / len(a), 6) if a else float(bool(b)) for i, (a, b) in enumerate(pairs) if a is not None and b is not None}
     assert got == want and got["0"] == 0.5
+
+
+@pytest.mark.parametrize("block", [7, 16_384])
+def test_speakers_of_all_channels_equal_linkage_of_the_whole_table(spark, monkeypatch, block):
+    monkeypatch.setattr(speakers, "BLOCK", block)
+    rng = np.random.default_rng(3)
+    unit = lambda v: v / np.linalg.norm(v)
+    people = [unit(rng.normal(size=24)) for _ in range(6)]
+    prints = [unit(people[i % 6] + 0.8 * unit(rng.normal(size=24))) for i in range(60)]
+    seconds = [float(rng.integers(31, 300)) if i % 5 else 5.0 + i / 100 for i in range(60)]
+    df = spark.createDataFrame([(i, p.tolist(), s, f"channel {i % 4}") for i, (p, s) in enumerate(zip(prints, seconds))], "video_id long, print array<double>, seconds double, channel string")
+    got = {r["video_id"]: r["speaker"] for r in speakers.speakers_across(df).collect()}
+    want = speakers.assign_prints(np.array(prints), np.array(seconds))
+    assert len(set(zip(got.values(), (want[i] for i in got)))) == len(set(got.values())) == len(set(want.tolist()))
+
+
+def test_linkage_by_sums_equals_linkage_by_pairs():
+    rng = np.random.default_rng(4)
+    for n in (1, 2, 40, 120):
+        x = rng.normal(size=(n, 6))
+        x /= np.linalg.norm(x, axis=1, keepdims=True)
+        a, b = speakers.linked_groups(x, 0.5), speakers.average_linkage(x, 0.5)
+        assert len(set(zip(a.tolist(), b.tolist()))) == len(set(a.tolist())) == len(set(b.tolist()))
