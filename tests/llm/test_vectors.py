@@ -42,15 +42,15 @@ def test_usable_rows():
     assert at.tolist() == [2]
 
 
-@pytest.mark.parametrize("block", [10**6, 150])
-def test_near_pairs_are_all_found(spark, block):
+@pytest.mark.parametrize("rooms", [{}, {"room_rows": 120}, {"room_rows": 60, "most_room": 120, "fan": 3}])
+def test_near_pairs_are_all_found(spark, rooms):
     x, _ = voices(12, 50)
     rng = np.random.default_rng(1)
     near = x[:60] + 0.1 * rng.normal(size=(60, DIMS)) / np.sqrt(DIMS)
     x = np.concatenate([x, near / np.linalg.norm(near, axis=1, keepdims=True)])
     x *= rng.uniform(0.1, 9, size=(len(x), 1))
     u = x / np.linalg.norm(x, axis=1, keepdims=True)
-    got = neighbours.nearest_vectors(frame(spark, x, extra=BROKEN), k=5, least=0.95, dims=DIMS, rows_per_cell=80, block_rows=block)
+    got = neighbours.nearest_vectors(frame(spark, x, extra=BROKEN), k=5, least=0.95, dims=DIMS, rows_per_cell=80, **rooms)
     pairs = {tuple(sorted((r["id"], r["neighbour"]))) for r in got.collect()}
     want = brute(u, 0.95)
     assert len(want) >= 60 and pairs <= brute(u, 0.9499) and len(want - pairs) <= 0.02 * len(want)
@@ -59,7 +59,7 @@ def test_near_pairs_are_all_found(spark, block):
 def test_recall_of_lists(spark):
     x, _ = voices(10, 80, seed=3)
     got = defaultdict(set)
-    for r in neighbours.nearest_vectors(frame(spark, x), k=5, dims=DIMS, rows_per_cell=60, probes=neighbours.WIDE_PROBES).collect():
+    for r in neighbours.nearest_vectors(frame(spark, x), k=5, dims=DIMS, rows_per_cell=60).collect():
         got[r["id"]].add(int(r["neighbour"][1:]))
     s = x @ x.T
     np.fill_diagonal(s, -2)
