@@ -22,6 +22,10 @@ BAND = 32
 BLOCK_LETTERS = 4_000_000
 #: Size of the table of q-grams that occur at all, as a power of two.
 SIEVE = 22
+#: Shared q-grams looked at together; texts and items that share more are taken piece by piece.
+HITS_HELD = 4_000_000
+#: Passages aligned together.
+ALIGNED = 8_192
 
 
 @dataclass
@@ -34,9 +38,9 @@ class ItemIndex:
     at: np.ndarray  # position of each in the letters of all items
     sieve: np.ndarray
     first: np.ndarray  # first letter of each item
-    needed: np.ndarray  # shared q-grams a leak leaves at least
-    passages: np.ndarray  # sorted hashes of PASSAGE words, with their item
-    passage_item: np.ndarray
+    needed: np.ndarray  # shared q-grams a leak of the item leaves at least
+    size: np.ndarray  # words of a passage of each item
+    passage: np.ndarray  # a hash of the passage that begins with each word of the items; only whole passages are looked up
 
     @classmethod
     def build(cls, ids: list, texts: list[str], edits: int) -> ItemIndex:
@@ -58,15 +62,12 @@ class ItemIndex:
                 least[i] = (s[span[i] :] - s[: len(s) - span[i]]).min()
         needed = least + 1 - Q - edits * Q
         word_hashes = w.hashes()
-        passages, owner = [], []
+        passage = np.zeros(len(word_hashes), np.uint64)
         for size in sorted(set(span[span > 0].tolist())):
             runs = codes.runs_of(word_hashes, size)
-            ok = np.flatnonzero((w.text_of[: len(runs)] == w.text_of[size - 1 :][: len(runs)]) & (span[w.text_of[: len(runs)]] == size))
-            passages.append(codes.mix(runs[ok] + np.uint64(size)))
-            owner.append(w.text_of[ok])
-        passages_, owner_ = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (passages, owner))
-        o = np.argsort(passages_, kind="stable")
-        return cls(ids, w, hashes[order], order, sieve, w.starts[w.bounds[:-1]], needed, passages_[o], owner_[o])
+            at = np.flatnonzero(span[w.text_of[: len(runs)]] == size)
+            passage[at] = runs[at]
+        return cls(ids, w, hashes[order], order, sieve, w.starts[w.bounds[:-1]], needed, span, passage)
 
 
 def letter_grams(chars: np.ndarray, q: int) -> np.ndarray:
@@ -81,104 +82,141 @@ def letter_grams(chars: np.ndarray, q: int) -> np.ndarray:
     return codes.mix(out)
 
 
-def candidate_regions(index: ItemIndex, w: codes.Words) -> tuple[np.ndarray, ...]:
-    """(text, item, lowest diagonal) of the bands in which a text shares as many q-grams with an item as a leak must leave.
+def shared_grams(index: ItemIndex, w: codes.Words, held: int = HITS_HELD) -> Iterator[tuple[np.ndarray, ...]]:
+    """(text, item, diagonal, letter of the item) of every q-gram that a text shares with an item, about `held` at a time.
 
-    Items too short for the bound to say anything are handed to the exact check through their own q-grams, one hit being
-    enough; items shorter than a q-gram are handled by `short_matches`.
+    The diagonal counts from the text's and the item's own first letters.
     """
     grams = letter_grams(w.chars, Q)
     maybe = np.flatnonzero(index.sieve[(grams >> np.uint64(64 - SIEVE)).astype(np.int64)])
     maybe = maybe[w.char_text[maybe] == w.char_text[maybe + Q - 1]]
-    lo = np.searchsorted(index.grams, grams[maybe], "left")
-    times = np.searchsorted(index.grams, grams[maybe], "right") - lo
-    where = np.repeat(maybe, times)
-    hit = index.at[np.repeat(lo - np.concatenate([[0], np.cumsum(times)[:-1]]), times) + np.arange(times.sum())]
-    text, item = w.char_text[where].astype(np.int64), index.words.char_text[hit].astype(np.int64)
-    # The diagonal counts from the text's and the item's own first letters.
-    begin = w.starts[w.bounds[:-1]][text]
-    diagonal = (where - begin) - (hit - index.first[item])
-    out = []
+    first = np.searchsorted(index.grams, grams[maybe], "left")
+    times = np.searchsorted(index.grams, grams[maybe], "right") - first
+    maybe, first, times = maybe[times > 0], first[times > 0], times[times > 0]
+    begin = w.starts[w.bounds[:-1]]
+    upto = np.cumsum(times)
+    edges = np.unique(np.append(np.searchsorted(upto, np.arange(0, upto[-1] if len(upto) else 0, held), "right"), len(times)))
+    for a, b in zip(np.append(0, edges[:-1]), edges):
+        n = times[a:b]
+        if not len(n):
+            continue
+        hit = index.at[np.repeat(first[a:b] - (np.cumsum(n) - n), n) + np.arange(n.sum())]
+        where = np.repeat(maybe[a:b], n)
+        text, item = w.char_text[where].astype(np.int64), index.words.char_text[hit].astype(np.int64)
+        place = hit - index.first[item]
+        yield text, item, where - begin[text] - place, place
+
+
+def _regions(text: np.ndarray, item: np.ndarray, diagonal: np.ndarray, shift: int, items: int) -> np.ndarray:
+    """One number for the text, the item and the band of every diagonal, the bands beginning `shift` further in front."""
+    return (text * items + item << 24) + (diagonal + shift) // BAND + (1 << 23)
+
+
+def candidate_passages(index: ItemIndex, w: codes.Words, edits: int) -> np.ndarray:
+    """Rows (text, item, first word, lowest diagonal) of the passages whose alignment in a band is worth trying.
+
+    In every band the q-grams shared with an item are counted. A region is retained if it has as many as the shortest
+    passage of the item leaves within the edit budget, and of its passages those with as many as they leave themselves.
+    Where the budget leaves none for sure, one shared q-gram is asked for. Items shorter than a q-gram are handled by
+    `short_matches`.
+    """
+    items, iw, out = len(index.ids), index.words, []
     for shift in (0, BAND // 2):
-        band = (diagonal + shift) // BAND
-        order = np.lexsort((band, item, text))
-        t, i, b = text[order], item[order], band[order]
-        edge = np.flatnonzero(np.concatenate([[True], (t[1:] != t[:-1]) | (i[1:] != i[:-1]) | (b[1:] != b[:-1])])) if len(t) else np.zeros(0, np.int64)
-        count = np.diff(np.append(edge, len(t)))
-        keep = count >= np.maximum(index.needed[i[edge]], 1)
-        edge = edge[keep]
-        out.append((t[edge], i[edge], b[edge] * BAND - shift))
-    return tuple(np.concatenate(x) for x in zip(*out))
+        counted: list[tuple[np.ndarray, np.ndarray]] = []
+        for text, item, diagonal, _ in shared_grams(index, w):
+            counted.append(np.unique(_regions(text, item, diagonal, shift, items), return_counts=True))
+        if not counted:
+            continue
+        region, at = np.unique(np.concatenate([r for r, _ in counted]), return_inverse=True)
+        count = np.bincount(at, weights=np.concatenate([c for _, c in counted]))
+        kept = region[count >= np.maximum(index.needed[(region >> 24) % items], 1)]
+        if not len(kept):
+            continue
+        found: list[tuple[np.ndarray, np.ndarray]] = []
+        for text, item, diagonal, place in shared_grams(index, w):
+            r = _regions(text, item, diagonal, shift, items)
+            known = np.minimum(np.searchsorted(kept, r), len(kept) - 1)
+            ok = kept[known] == r
+            found.append((known[ok], place[ok]))
+        known, place = (np.concatenate(f) for f in zip(*found))
+        order = np.lexsort((place, known))
+        known, place = known[order], place[order]
+        edges = np.searchsorted(known, np.arange(len(kept) + 1))
+        for k, r in enumerate(kept.tolist()):
+            item = (r >> 24) % items
+            places = np.unique(place[edges[k] : edges[k + 1]])
+            a, b, size = int(iw.bounds[item]), int(iw.bounds[item + 1]), int(index.size[item])
+            starts = iw.starts[a : b + 1] - index.first[item]
+            low, high = starts[: len(starts) - size], starts[size:]
+            shared = np.searchsorted(places, high - Q, "right") - np.searchsorted(places, low, "left")
+            s = np.flatnonzero(shared >= np.maximum(high - low + 1 - Q - edits * Q, 1))
+            line = ((r & (1 << 24) - 1) - (1 << 23)) * BAND - shift
+            out.append(np.stack([np.full(len(s), (r >> 24) // items), np.full(len(s), item), s + a, np.full(len(s), line)], axis=1))
+    return np.concatenate(out) if out else np.zeros((0, 4), np.int64)
 
 
-def banded_edits(pattern: np.ndarray, text: np.ndarray, low: int, high: int, budget: int) -> int:
-    """Least edits that turn `pattern` into some piece of `text` whose diagonals stay within low..high; budget + 1 if more.
+def aligned(index: ItemIndex, w: codes.Words, passages: np.ndarray, edits: int) -> np.ndarray:
+    """Whether each passage turns into some piece of its text, on diagonals of its band, by at most `edits` edits.
 
-    Row by row over the pattern, each row only as wide as the band; gaps along a row are closed by a running minimum.
+    Banded alignment of many passages at once, letter by letter of the passages; a row holds the least edits by diagonal.
+    Passages whose rows all exceed the budget are dropped on the way.
     """
-    width = high - low + 1
-    far = budget + 1
-    columns = np.arange(low, high + 1)  # text position before which the pattern's first letter may stand
-    row = np.where((columns >= 0) & (columns <= len(text)), 0, far).astype(np.int32)
-    padded = np.full(len(text) + 2 * width + len(pattern) + abs(low) + 2, 0xFFFFFFFF, np.uint32)
-    base = width + abs(low)
-    padded[base : base + len(text)] = text
+    iw = index.words
+    out = np.zeros(len(passages), bool)
+    width, far = BAND + 2 * edits, edits + 1
     step = np.arange(width)
-    for r, c in enumerate(pattern):
-        at = columns + r
-        change = row + (padded[base + at] != c)
-        skip = np.append(row[1:], far) + 1  # a letter of the pattern that the text lacks
-        new = np.minimum(change, skip)
-        new = np.where((at + 1 >= 0) & (at + 1 <= len(text)), new, far)
-        row = np.minimum(np.minimum.accumulate(new - step) + step, far)  # letters of the text that the pattern lacks
-        if row.min() > budget:
-            return far
-    return int(row.min())
+    for s in range(0, len(passages), ALIGNED):
+        text, item, word, low = passages[s : s + ALIGNED].T
+        first, length = iw.starts[word], iw.starts[word + index.size[item]] - iw.starts[word]
+        begin, end = w.starts[w.bounds[text]], w.starts[w.bounds[text + 1]]
+        # The place in all letters before which the passage's first letter stands, by diagonal.
+        at = (begin + low - edits + first - index.first[item])[:, None] + step
+        row = np.where((at >= begin[:, None]) & (at <= end[:, None]), 0, far).astype(np.int32)
+        open_ = np.arange(len(text))
+        for r in range(int(length.max(initial=0))):
+            here = at[open_] + r
+            inside = (here >= begin[open_, None]) & (here < end[open_, None])
+            same = inside & (w.chars[np.clip(here, 0, len(w.chars) - 1)] == iw.chars[first[open_] + r][:, None])
+            skip = np.concatenate([row[:, 1:], np.full((len(row), 1), far, np.int32)], axis=1) + 1  # a letter the text lacks
+            new = np.minimum(row + ~same, skip)
+            new[(here + 1 < begin[open_, None]) | (here + 1 > end[open_, None])] = far
+            row = np.minimum(np.minimum.accumulate(new - step, axis=1) + step, far)  # letters the passage lacks
+            good = row.min(axis=1) <= edits
+            done = good & (length[open_] == r + 1)
+            out[s + open_[done]] = True
+            go = good & ~done
+            open_, row = open_[go], row[go]
+            if not len(open_):
+                break
+    return out
 
 
 def leaks_in(index: ItemIndex, texts: list[str], edits: int = 0) -> list[tuple[int, int]]:
-    """(text, item) numbers of the leaks in a batch of texts."""
+    """(text, item) numbers of the leaks in a batch of texts.
+
+    Without edits the passages that align letter by letter are checked word by word after: a leak has whole words.
+    """
     w = codes.Words(texts)
     if not len(w.chars) or not len(index.words.chars):
         return []
-    t, i, low = candidate_regions(index, w)
-    found: set[tuple[int, int]] = set()
     word_hashes = w.hashes()
-    iw = index.words
-    by_text: dict[int, list[tuple[int, int]]] = {}
-    for a, b, d in zip(t.tolist(), i.tolist(), low.tolist()):
-        by_text.setdefault(a, []).append((b, d))
-    for a, regions in by_text.items():
-        first, last = w.bounds[a], w.bounds[a + 1]
-        own = word_hashes[first:last]
-        items = {b for b, _ in regions}
-        for size in sorted({min(int(iw.bounds[b + 1] - iw.bounds[b]), PASSAGE) for b in items}):
-            if size:
-                runs = codes.mix(codes.runs_of(own, size) + np.uint64(size))
-                lo, hi = np.searchsorted(index.passages, runs, "left"), np.searchsorted(index.passages, runs, "right")
-                for x, y in zip(lo[hi > lo], hi[hi > lo]):
-                    found.update((a, int(b)) for b in index.passage_item[x:y] if int(b) in items)
-        if edits:
-            letters = w.chars[w.starts[first] : w.starts[last]]
-            for b, d in regions:
-                if (a, b) not in found and _aligned(iw, b, letters, d, edits):
-                    found.add((a, b))
+    passages = candidate_passages(index, w, edits)
+    passages = passages[aligned(index, w, passages, edits)]
+    if not edits and len(passages):
+        same = np.zeros(len(passages), bool)
+        for text in np.unique(passages[:, 0]).tolist():
+            own = word_hashes[w.bounds[text] : w.bounds[text + 1]]
+            at = np.flatnonzero(passages[:, 0] == text)
+            sizes = index.size[passages[at, 1]]
+            for size in np.unique(sizes).tolist():
+                of = at[sizes == size]
+                same[of] = np.isin(index.passage[passages[of, 2]], codes.runs_of(own, size))
+        passages = passages[same]
+    found = set(map(tuple, np.unique(passages[:, :2], axis=0).tolist()))
     found.update(short_matches(index, w, word_hashes))
     return sorted(found)
 
 
-def _aligned(iw: codes.Words, item: int, letters: np.ndarray, low: int, edits: int) -> bool:
-    """Whether some PASSAGE words of the item align with the text in the band at a cost within the budget."""
-    a, b = int(iw.bounds[item]), int(iw.bounds[item + 1])
-    size = min(b - a, PASSAGE)
-    for s in range(a, b - size + 1):
-        pattern = iw.chars[iw.starts[s] : iw.starts[s + size]]
-        skip = int(iw.starts[s] - iw.starts[a])
-        if banded_edits(pattern, letters, low + skip - edits, low + BAND - 1 + skip + edits, edits) <= edits:
-            return True
-    return False
-
-
 def short_matches(index: ItemIndex, w: codes.Words, word_hashes: np.ndarray) -> set[tuple[int, int]]:
     """Leaks of items with fewer letters than a q-gram, by the hashes of all their words."""
     iw, found = index.words, set()

@@ -213,11 +213,32 @@ def edits(a, b):
     return min(row)
 
 
-@settings(max_examples=100, deadline=None)
-@given(st.text("ab", min_size=1, max_size=10), st.text("abc", max_size=14))
-def test_banded_alignment_over_a_wide_band_is_plain_alignment(a, b):
-    x, y = (np.array([ord(c) for c in t], np.uint32) for t in (a, b))
-    assert leakage.banded_edits(x, y, -len(a), len(b), len(a)) == edits(a, b)
+@pytest.mark.parametrize("budget", [0, 1, 3])
+def test_aligned_passages_equal_plain_alignment(budget, monkeypatch):
+    monkeypatch.setattr(leakage, "ALIGNED", 7)
+    monkeypatch.setattr(leakage, "HITS_HELD", 50)
+    rng = random.Random(budget)
+    items = ["".join(rng.choice("abcdefgh") for _ in range(5)) + " " + " ".join("".join(rng.choice("abcdefgh") for _ in range(rng.randrange(4, 8))) for _ in range(rng.randrange(11, 15))) for _ in range(12)]
+    texts = []
+    for i in range(60):
+        letters = list(rng.choice(items))
+        for _ in range(rng.randrange(0, 5)):
+            at = rng.randrange(len(letters))
+            letters[at : at + rng.choice([0, 1])] = rng.choice(["", "h", "a"])
+        texts.append(" ".join("".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(rng.randrange(0, 6))) + " " + "".join(letters))
+    want = set()
+    for t, text in enumerate(texts):
+        for i, item in enumerate(items):
+            w = item.split()
+            if any(edits("".join(w[s : s + 12]), "".join(text.split())) <= budget for s in range(max(1, len(w) - 11))):
+                want.add((t, i))
+    index = leakage.ItemIndex.build(list(range(len(items))), items, budget)
+    words = codes.Words(texts)
+    passages = leakage.candidate_passages(index, words, budget)
+    got = {(int(t), int(i)) for t, i, _, _ in passages[leakage.aligned(index, words, passages, budget)]}
+    assert got == want and len(want) > 10
+    if budget:
+        assert set(leakage.leaks_in(index, texts, budget)) == want
 
 
 def test_leaks_with_edits(spark):
