@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from clipweave.session import cut, drop_cut
 
-#: The walk goes on with this probability, else it starts anew anywhere. Small, so that a place near the top of one score
-#: can't outweigh the other scores; with much larger values the walk piles up on the heads of single scores.
+#: The walk goes on with this probability, else it starts anew anywhere. Small, because every step climbs: with large
+#: values the walk piles up on the heads of single scores, which few items stand above.
 DAMPING = 0.15
 TOLERANCE = 1e-7
 MAX_ROUNDS = 40
@@ -19,14 +19,14 @@ PREFIX_BLOCK = 20_000
 def rank_walk(items: DataFrame, scores: list[str], *, key: str = "id", damping: float = DAMPING, tolerance: float = TOLERANCE) -> DataFrame:
     """(`key`, stationarity) for every item: the share of time a walk spends on it that climbs by single scores.
 
-    From an item the walk picks one of `scores` at random and draws an item uniformly; if that stands higher in the
-    score, it jumps there, else it stays. So every higher-ranked item is reached with equal probability, and where an
-    item stands counts in proportion: jumps shared out among the higher-ranked alone would pile up on the heads of single
-    scores. Only the order of each score matters, never its scale. `items` has one row per `key` and no null or NaN
-    score; equal values tie. Other columns are ignored. An empty table gives an empty result.
+    From an item the walk picks one of `scores` at random and jumps to an item that stands higher in it, all of these
+    equally likely; where none stands higher it starts anew anywhere, as it does after any item with probability
+    1 - `damping`. Only the order of each score matters, never its scale. `items` has one row per `key` and no null or
+    NaN score; equal values tie, neither stands above the other. Other columns are ignored. An empty table gives an
+    empty result.
 
-    Per score only the totals of equal values are summed up in order, in blocks of value ranks, so a round costs one
-    pass over the items and small joins on the value; no order over all items is ever built.
+    Per score the probabilities, each shared out among the items above, are summed up in order of value, in blocks of value
+    ranks; so a round costs one pass over the items and joins on the value, and no order over all items is ever built.
     """
     steps = range(len(scores))
     base = cut(items.select(F.col(key).alias("k"), *[F.col(s).cast("double").alias(f"v{i}") for i, s in enumerate(scores)]), "rank-items")
@@ -40,19 +40,21 @@ def rank_walk(items: DataFrame, scores: list[str], *, key: str = "id", damping:
         placed = placed.join(own, f"v{i}")
     carried = ["k", *[f"d{i}" for i in steps], *[f"a{i}" for i in steps]]
     state = cut(placed.select(*carried, F.lit(1.0 / n).alias("p")), "rank-state")
+    tops = sum((F.when(F.col(f"a{i}") == 0, F.col("p")).otherwise(0.0) for i in steps), F.lit(0.0)) / len(scores)
+    restarts = state.agg(F.sum(tops)).first()[0]
     for _ in range(MAX_ROUNDS):
-        sent = F.array(*[F.struct(F.lit(i).alias("i"), F.col(f"d{i}").alias("d"), F.col("p").alias("m")) for i in steps])
+        sent = F.array(*[F.struct(F.lit(i).alias("i"), F.col(f"d{i}").alias("d"), F.when(F.col(f"a{i}") > 0, F.col("p") / F.col(f"a{i}")).otherwise(0.0).alias("m")) for i in steps])
         sums = state.select(F.inline(sent)).groupBy("i", "d").agg(F.sum("m").alias("m"))
         climbs = cut(_running(sums), "rank-climbs")
         step = state
         for i in steps:
             step = step.join(climbs.where(F.col("i") == i).select(F.col("d").alias(f"d{i}"), F.col("run").alias(f"in{i}")), f"d{i}")
-        stays = [F.col("p") * (1 - F.col(f"a{i}") / n) for i in steps]
-        inflow = sum((F.col(f"in{i}") / n + stay for i, stay in zip(steps, stays)), F.lit(0.0)) / len(scores)
+        inflow = sum((F.col(f"in{i}") for i in steps), F.lit(0.0)) / len(scores) + F.lit(restarts / n)
         moved = cut(step.select(*carried, F.col("p").alias("old"), (F.lit((1 - damping) / n) + damping * inflow).alias("p")), "rank-state")
         drop_cut(state), drop_cut(climbs)
         state = moved.drop("old")
-        if moved.agg(F.sum(F.abs(F.col("p") - F.col("old")))).first()[0] < tolerance:
+        change, restarts = moved.agg(F.sum(F.abs(F.col("p") - F.col("old"))), F.sum(tops)).first()
+        if change < tolerance:
             break
     return state.select(F.col("k").alias(key), F.col("p").alias("stationarity"))
 

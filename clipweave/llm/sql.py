@@ -13,11 +13,27 @@ SELECT a.id AS id_a, b.id AS id_b FROM v a JOIN v b ON a.id < b.id WHERE array_c
 """
 
 _SCORES = {"dnsmos_bak": (1, 5), "dnsmos_sig": (1, 5), "utmos": (1, 5), "window_similarity": (-1, 1)}
+_WALK_ROUNDS, _WALK_ON = 12, 0.15
+
+
+def _walk(n: int) -> str:
+    """One more step of the walk by which the four scores are ranked together, from round n - 1 to n."""
+    came = " + ".join(
+        f"coalesce(sum(CASE WHEN a{i} > 0 THEN p / a{i} END) OVER (ORDER BY {c} RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW EXCLUDE GROUP), 0)" for i, c in enumerate(_SCORES)
+    )
+    lost = " + ".join(f"CASE WHEN a{i} = 0 THEN p ELSE 0 END" for i in range(len(_SCORES)))
+    kept = ", ".join(["id", "n", *_SCORES, *[f"a{i}" for i in range(len(_SCORES))]])
+    return f"w{n} AS (SELECT {kept}, {1 - _WALK_ON}::DOUBLE / n + {_WALK_ON}::DOUBLE * (({came}) / {len(_SCORES)} + (sum({lost}) OVER ()) / {len(_SCORES)} / n) AS p FROM w{n - 1})"
+
+
+# The chain itself, step by step over whole windows: climb uniformly among the items above in one of four scores.
 P5 = f"""
 WITH one AS (SELECT id, {", ".join(f"any_value({c}) AS {c}" for c in _SCORES)} FROM chunks WHERE id IS NOT NULL GROUP BY id),
 u AS (SELECT * FROM one WHERE {" AND ".join(f"NOT isnan({c}) AND {c} BETWEEN {a} AND {b}" for c, (a, b) in _SCORES.items())}),
-r AS (SELECT id, {" + ".join(f"2 * rank() OVER (ORDER BY {c}) + count(*) OVER (PARTITION BY {c})" for c in _SCORES)} AS standing, count(*) OVER () AS n FROM u),
-o AS (SELECT id, n, row_number() OVER (ORDER BY standing DESC, id) AS place FROM r)
+w0 AS (SELECT *, count(*) OVER () AS n, {", ".join(f"count(*) OVER () - count(*) OVER (ORDER BY {c} RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS a{i}" for i, c in enumerate(_SCORES))},
+  1.0::DOUBLE / count(*) OVER () AS p FROM u),
+{", ".join(_walk(n + 1) for n in range(_WALK_ROUNDS))},
+o AS (SELECT id, n, row_number() OVER (ORDER BY round(p * n, 9) DESC, id) AS place FROM w{_WALK_ROUNDS})
 SELECT id FROM o WHERE place <= n // 100
 """
 
