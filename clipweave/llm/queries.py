@@ -42,6 +42,11 @@ def p6_found(spark: SparkSession, folder: str) -> DataFrame:
     return lookalike.alike_pairs(_canonical(spark, folder))
 
 
+def p6_classes(spark: SparkSession, folder: str) -> DataFrame:
+    """Every text that is also spelt otherwise, with its look and the number of such texts."""
+    return lookalike.alike_classes(_canonical(spark, folder))
+
+
 def p6_canonical(spark: SparkSession, folder: str) -> DataFrame:
     """Every text of every transcript in its one consistent form."""
     return _canonical(spark, folder).select("id", "field", "canonical").distinct()
@@ -201,6 +206,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "p5_found": p5_found,
         "p5_ranking": p5_ranking,
         "p6_found": p6_found,
+        "p6_classes": p6_classes,
         "p6_canonical": p6_canonical,
         "p7_found": p7_found,
         "p7_assigned": p7_assigned,

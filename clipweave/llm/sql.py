@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from clipweave.llm.codes import VOWEL_MARKS
-from clipweave.llm.lookalike import fold_table
+import unicodedata
 
 P4 = """
 WITH v AS (SELECT id, CAST(any_value(speaker_embedding) AS DOUBLE[192]) AS e FROM chunks
@@ -42,17 +41,24 @@ def _quoted(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
 
+# Letters that look like others, and the others, one below the other.
+_ALIKE = "аеорсухіјѕһԁԛԝѵАВЕКМНОРСТХІЈЅԌԜονΑΒΕΖΗΙΚΜΝΟΡΤΥΧոսցکیەɡɑ"
+_PLAIN = "aeopcyxijshdqwvABEKMHOPCTXIJSGWovABEZHIKMNOPTYXnugكيهga"
+# The presentation forms of Arabic letters and their ligatures, and the forms of full width.
+_JOINED = [c for c in range(0xFE80, 0xFEFD)]
+_WIDE = [c for c in range(0xFF01, 0xFF5F)]
+
+
 def _shown(column: str) -> str:
     """The text as it shows, by plain replacements: characters without a glyph go, look-alikes and widths become one."""
-    table = {c: s for c, s in fold_table().items() if c < 0x10000 and not 0xD800 <= c < 0xE000}
-    single = {chr(c): s for c, s in table.items() if len(s) == 1 and s != chr(c)}
-    longer = {chr(c): s for c, s in table.items() if len(s) > 1 and 0xFB00 <= c < 0xFF00}
-    gone = "".join(rf"\x{{{c:X}}}" for c, s in table.items() if s == "")
-    out = f"regexp_replace({column}, '[{gone}]', '', 'g')"
-    for a, b in longer.items():
-        out = f"replace({out}, {_quoted(a)}, {_quoted(b)})"
+    out = rf"regexp_replace({column}, '[\p{{Cf}}\x{{0}}-\x{{8}}\x{{E}}-\x{{1B}}\x{{7F}}-\x{{84}}\x{{86}}-\x{{9F}}\x{{FE00}}-\x{{FE0F}}\x{{34F}}]', '', 'g')"
+    plain = {chr(c): unicodedata.normalize("NFKC", chr(c)) for c in _JOINED} | {chr(c): chr(c - 0xFEE0) for c in _WIDE}
+    for a, b in plain.items():
+        if len(b) > 1:
+            out = f"replace({out}, {_quoted(a)}, {_quoted(b)})"
+    single = {a: b for a, b in plain.items() if len(b) == 1} | dict(zip(_ALIKE, _PLAIN))
     out = f"nfc_normalize(translate({out}, {_quoted(''.join(single))}, {_quoted(''.join(single.values()))}))"
-    return rf"regexp_replace(trim(regexp_replace({out}, '[^\S\n\r]+', ' ', 'g')), '^\s+|\s+$', '', 'g')"
+    return rf"regexp_replace(trim(regexp_replace({out}, '[\p{{Zs}}\t\x{{B}}\x{{C}}]+', ' ', 'g')), '^\s+|\s+$', '', 'g')"
 
 
 P6 = f"""
@@ -61,7 +67,8 @@ s AS (SELECT id, field, raw, {_shown("raw")} AS shown FROM t WHERE id IS NOT NUL
 SELECT DISTINCT a.id AS id_a, b.id AS id_b FROM s a JOIN s b USING (field, shown) WHERE a.id < b.id AND a.raw <> b.raw AND shown <> ''
 """
 
-_MARKS = "".join(rf"\x{{{a:X}}}-\x{{{b:X}}}" for a, b in VOWEL_MARKS)
+# Vowel marks above and below Arabic letters, and the stretching stroke.
+_MARKS = r"\x{610}-\x{61A}\x{64B}-\x{652}\x{656}-\x{65F}\x{670}\x{6D6}-\x{6DC}\x{6DF}-\x{6E4}\x{6E7}\x{6E8}\x{6EA}-\x{6ED}\x{640}"
 
 
 def _words(column: str) -> str:

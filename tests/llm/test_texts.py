@@ -1,5 +1,6 @@
 """Repetition, look-alikes, packing, leakage and residue against brute force, and their edge cases."""
 
+import pickle
 import random
 import unicodedata
 
@@ -89,28 +90,41 @@ def test_repetition_takes_odd_input(spark):
     assert repetition.repetitive(df.limit(0)).count() == 0
 
 
+#: As the public table has them; `test_public_table_of_look_alikes` holds them against it.
+LOOKS = lookalike.Looks(dict(zip("аеорсухіјѕһԁԛԝѵАВЕКМНОРСТХІЈЅԌԜονΑΒΕΖΗΙΚΜΝΟΡΤΥΧ", "aeopcyxijshdqwvABEKMHOPCTXIJSGWovABEZHIKMNOPTYX")))
+
+
+def test_public_table_of_look_alikes(spark):
+    table = lookalike.other_scripts(spark)
+    missing = {a: b for a, b in LOOKS.alike.items() if a not in "کیەɡɑ" and table.get(a) != b}
+    assert missing == {} and len(table) > 100 and all(b.isascii() for b in table.values())
+    assert not {"ى", "ي", "ا", "ه", "é", "ﺍ"} & set(table) and pickle.loads(pickle.dumps(LOOKS)).table == LOOKS.table
+
+
 def test_fold_brings_look_alikes_together():
     same = [("ﻟﺎ", "لا"), ("ｔｅｓｔ．", "test."), ("раураl", "paypal"), ("أ", "أ"), ("کی", "كي"), ("a​b­", "ab"), ("ﻷ", "لأ"), ("ئ", "ئ"), ("یٔ", "ئ"), ("é", "é")]
     for a, b in same:
-        assert lookalike.fold(a) == lookalike.fold(b) == b if b.isascii() else lookalike.fold(a) == lookalike.fold(b), (a, b)
+        assert LOOKS.fold(a) == LOOKS.fold(b) == b if b.isascii() else LOOKS.fold(a) == LOOKS.fold(b), (a, b)
     different = [("ا", "أ"), ("ه", "ة"), ("ى", "ي"), ("a", "A"), ("a", "à"), ("كَ", "ك"), ("x²", "x2"), (".", "،")]
     for a, b in different:
-        assert lookalike.fold(a) != lookalike.fold(b), (a, b)
+        assert LOOKS.fold(a) != LOOKS.fold(b), (a, b)
 
 
 @settings(max_examples=200, deadline=None)
 @given(st.text(alphabet="aаééﻟﺎلاأٔییي‏ｔ  \n", max_size=12))
 def test_fold_is_idempotent_and_canonical_is_stable(text):
-    form = lookalike.fold(text)
-    assert lookalike.fold(form) == form
-    c = lookalike.Canonical(["paypal", "сор"])
+    form = LOOKS.fold(text)
+    assert LOOKS.fold(form) == form
+    c = lookalike.Canonical(["paypal", "сор"], LOOKS)
     assert c(c(text)) == c(text) == c(unicodedata.normalize("NFD", text))
 
 
 def test_tries():
-    t = lookalike.WordTries(["cat", "сор", "cart"])
-    assert t.match("сat") == "cat" and t.match("cop") == "сор" and t.match("c‍at") == "cat" and t.match("cot") is None
-    assert t.match("cot", budget=1) == "cat" and t.match("carts", budget=1) == "cart" and t.match("at", budget=1) == "cat" and t.match("dog", budget=1) is None
+    t = lookalike.WordTries(["cat", "сор", "cart", "وﻷن", "a\u200bb", "étude"], LOOKS)
+    assert t.match("сat") == ("cat", 0) and t.match("cop") == ("сор", 0) and t.match("c\u200dat") == ("cat", 0) and t.match("cot") is None
+    assert t.match("ولأن") == ("وﻷن", 0) and t.match("ab") == ("a\u200bb", 0) and t.match("e\u0301tude") == ("étude", 0) and t.match("etude") is None
+    assert t.match("cot", 1) == ("cat", 1) and t.match("carts", 1) == ("cart", 1) and t.match("at", 1) == ("cat", 1) and t.match("dog", 1) is None
+    assert t.match("etude", 0.5) == ("étude", 0.5) and t.match("ca\u0301t", 0.5) == ("cat", 0.5) and t.match("сät", 0) is None
 
 
 def test_alike_pairs(spark):
