@@ -52,6 +52,7 @@ class Looks:
             self.table[ord(a)] = b
         for c, form in list(self.table.items()):  # a fullwidth or presentation form of a character that is itself in the table
             self.table[c] = "".join(self.table.get(ord(x), x) for x in form)
+        self.apart = {c: unicodedata.normalize("NFD", form) for c, form in self.table.items()}
         # Characters without a glyph go before tokens are told apart: one alone between two blanks isn't a token.
         self.blanks = {c: form for c, form in self.table.items() if form in ("", " ")}
 
@@ -66,8 +67,8 @@ class Looks:
         return unicodedata.normalize("NFC", apart.translate(self.table))
 
     def parts(self, character: str) -> str:
-        """What a character shows: nothing, itself, or the plain characters it looks like."""
-        return self.table.get(ord(character), character)
+        """What a character shows: nothing, itself, or the plain characters it looks like, composed letters taken apart."""
+        return self.apart.get(ord(character), character)
 
 
 @cache
