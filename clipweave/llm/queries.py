@@ -24,7 +24,7 @@ def _repetition(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def p1_found(spark: SparkSession, folder: str) -> DataFrame:
-    """Transcripts rejected for repetition of which at least half is repeated."""
+    """Transcripts rejected for repetition; an exact check keeps those of which at least half is repeated."""
     return _repetition(spark, folder).where(F.col("rejected") & (F.col("repeated") >= REPEATED_SHARE)).select("id")
 
 

@@ -5,6 +5,7 @@ import random
 import unicodedata
 
 import numpy as np
+import pandas as pd
 import pytest
 from helpers import rows
 from hypothesis import given, settings
@@ -41,6 +42,29 @@ def test_shares_equal_brute_force(texts):
     assert np.allclose(got[:, 0], [brute_share(t) for t in texts])
 
 
+@settings(max_examples=60, deadline=None)
+@given(st.integers(0, 10**6), st.integers(1, 40), st.integers(1, 4))
+def test_long_squares_equal_short_ones(seed, unit, times):
+    rng = np.random.default_rng(seed)
+    piece = rng.integers(0, 3, unit)
+    s = np.concatenate([rng.integers(0, 2, rng.integers(0, 30)), *[piece] * times, rng.integers(0, 3, rng.integers(0, 30))]).astype(np.uint32)
+    want = repetition._squares(s, np.zeros(len(s), int), 3, len(s))
+    assert (repetition._long_squares(s, 3, len(s), held=50) == want).all()
+
+
+def test_a_long_text_without_blanks_takes_no_time():
+    rng = np.random.default_rng(0)
+    word = "".join(map(chr, rng.integers(ord("a"), ord("z"), 150_000)))
+    assert repetition.shares([word + word])[0, 0] == pytest.approx(0.52, abs=0.01)
+
+
+def test_half_of_a_group_is_enough_for_its_estimate():
+    rng = np.random.default_rng(3)
+    x = np.concatenate([rng.normal(0.1, 0.03, (560, 4)), rng.normal(0.9, 0.02, (440, 4))])
+    got = repetition._starts(pd.DataFrame(x).assign(_g="g"))
+    assert np.allclose(got["_m"][0], 0.1, atol=0.02) and len(got) >= 1
+
+
 def test_shares_of_loops():
     texts = ["هي جربت رخيص " * 12, "hahahaha", "one two zwei four five. ONE two, zwei four [laughs] five", "a long text without any repeats", "", "x" * 5000, ("abcdefgh " * 3).strip()]
     got = repetition.shares(texts)[:, 0]
