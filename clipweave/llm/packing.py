@@ -8,13 +8,14 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clipweave.session import cut
 
 #: Fixed value: the splitting pattern of the byte-level vocabulary.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: Where the vocabulary is unless the session's setting `clipweave.tokenizer` names another file, which every worker can read.
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 CAPACITY = 2048
 #: Items packed by one task, and open containers merged by one task.
@@ -30,6 +31,11 @@ def _encoding(path: str):
     return tiktoken.Encoding("packing", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
+def tokenizer_of(spark: SparkSession) -> str:
+    """The vocabulary file of a session."""
+    return spark.conf.get("clipweave.tokenizer", TOKENIZER)
+
+
 def token_counts(documents: DataFrame, *, key: str = "doc_id", text: str = "text", tokenizer: str = TOKENIZER) -> DataFrame:
     """(`key`, tokens) of every row by a byte-level vocabulary; null counts as empty. Whole texts are read."""
     kind = documents.schema[key].dataType.simpleString()

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clipweave.llm import cap, clusters, leakage, lookalike, neighbours, packing, rank, repetition, residue, splits, sql
+from clipweave.session import cut
 from clipweave.sources.tables import clean_speaker, one_per_key, table, usable
 
 REPEATED_SHARE = 0.5
@@ -133,18 +134,47 @@ def p7_found(spark: SparkSession, folder: str) -> DataFrame:
     return splits.leaking_values(chunks, table(spark, folder, "draft_splits"))
 
 
-def p7_assigned(spark: SparkSession, folder: str) -> DataFrame:
-    """Every chunk with a split of its own, no speaker in two of them."""
+def _people(spark: SparkSession, folder: str) -> DataFrame:
     chunks = one_per_key(table(spark, folder, "chunks"), "id", "speaker_id", "gender")
     sex = F.substring(F.lower(F.trim("gender")), 1, 1)
-    rows = chunks.select("id", clean_speaker().alias("speaker_id"), F.when(sex == "m", "male").when(sex == "f", "female").alias("gender"))
-    return splits.deal_splits(rows, SPLITS).select("id", "split")
+    return chunks.select("id", clean_speaker().alias("speaker_id"), F.when(sex == "m", "male").when(sex == "f", "female").alias("gender"))
+
+
+def p7_assigned(spark: SparkSession, folder: str) -> DataFrame:
+    """Every chunk with a split of its own, no speaker in two of them."""
+    return splits.deal_splits(_people(spark, folder), SPLITS).select("id", "split")
+
+
+def p7_checks(spark: SparkSession, folder: str) -> DataFrame:
+    """Whether the splits keep what they promise: of all chunks and of each gender the stated share within a point, no speaker torn apart."""
+    people = _people(spark, folder)
+    dealt = people.join(splits.deal_splits(people, SPLITS).select("id", "split"), "id")
+    torn = dealt.where("speaker_id IS NOT NULL").groupBy("speaker_id").agg(F.count_distinct("split").alias("n")).where("n > 1")
+    counts = dealt.groupBy("gender", "split").agg(F.count("*").alias("n"))
+    group = F.explode(F.array(F.coalesce("gender", F.lit("unknown")), F.lit("all"))).alias("people")
+    shares = counts.select(group, "split", "n").groupBy("people").pivot("split", list(SPLITS)).agg(F.sum("n"))
+    total = sum((F.coalesce(F.col(s), F.lit(0)) for s in SPLITS), F.lit(0))
+    close = [(F.abs(F.coalesce(F.col(s), F.lit(0)) / total - p) <= 0.01).alias(s) for s, p in SPLITS.items()]
+    return shares.select("people", *close).crossJoin(torn.agg(F.count("*").alias("torn")))  # one row
 
 
 def p8_packed(spark: SparkSession, folder: str) -> DataFrame:
     """Every document with its sequence, in tokens of a public tokenizer."""
     documents = one_per_key(table(spark, folder, "documents"), "doc_id", "text")
-    return packing.pack(packing.token_counts(documents))
+    return packing.pack(packing.token_counts(documents, tokenizer=packing.tokenizer_of(spark)))
+
+
+def p8_checks(spark: SparkSession, folder: str) -> DataFrame:
+    """Whether the packing keeps what it promises: one row of the documents laid down, and of how often a rule is broken."""
+    documents = one_per_key(table(spark, folder, "documents"), "doc_id", "text")
+    sizes = cut(packing.token_counts(documents, tokenizer=packing.tokenizer_of(spark)), "pack-sizes")
+    packed = cut(packing.pack(sizes), "pack-checked")
+    boxes = packed.groupBy("container").agg(F.sum("used").alias("fill"), F.max(F.col("offset") + F.col("used")).alias("end"), F.count_distinct("offset").alias("starts"), F.count("*").alias("n"))
+    whole = packed.groupBy("doc_id").agg(F.sum("used").alias("laid"), F.count("*").alias("parts")).join(sizes, "doc_id", "full")
+    bad = F.coalesce(F.col("laid"), F.lit(0)) != F.coalesce(F.col("tokens"), F.lit(0))
+    counts = whole.agg(F.count_if("laid > 0").alias("documents"), F.count_if(bad).alias("changed"), F.count_if((F.col("parts") > 1) & (F.col("tokens") <= packing.CAPACITY)).alias("cut_in_vain"))
+    loose = boxes.agg(F.count_if(F.col("fill") > packing.CAPACITY).alias("overfull"), F.count_if((F.col("fill") != F.col("end")) | (F.col("starts") != F.col("n"))).alias("overlapping"))
+    return counts.crossJoin(loose)  # a row each
 
 
 def p9_found(spark: SparkSession, folder: str) -> DataFrame:
@@ -210,7 +240,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "p6_canonical": p6_canonical,
         "p7_found": p7_found,
         "p7_assigned": p7_assigned,
+        "p7_checks": p7_checks,
         "p8_packed": p8_packed,
+        "p8_checks": p8_checks,
         "p9_found": p9_found,
         "p10_found": p10_found,
         "p10_messages": p10_messages,
@@ -225,6 +257,9 @@ def oracle_sql() -> dict[str, str]:
         "p4_found": sql.P4,
         "p5_found": sql.P5,
         "p6_found": sql.P6,
+        "p2_found": sql.P2,
         "p7_found": P7_SQL,
+        "p7_checks": sql.P7_CHECKS,
+        "p8_checks": sql.P8_CHECKS,
         "p9_found": sql.P9,
     }

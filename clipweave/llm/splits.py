@@ -2,18 +2,21 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from clipweave.session import cut, drop_cut
 
-#: Roots of one stratum numbered by one task; larger strata are dealt in several shuffled hands.
+#: Roots of one stratum and size band numbered by one task; larger ones are dealt in several shuffled hands.
 HAND = 20_000
+#: Roots with at least this part of all records are dealt one by one, the largest first; there can be no more of them than its inverse.
+LARGE = 1 / 20_000
 
 
 def vertex(kind: str, column: str):
-    """A vertex number for a value of one kind of key."""
-    return F.xxhash64(F.lit(kind), F.col(column).cast("string"))
+    """A vertex for a value of one kind of key: 128 bits, so that no two values of any corpus fall together."""
+    return F.unhex(F.md5(F.concat_ws("\u0001", F.lit(kind), F.col(column).cast("string"))))
 
 
 def record_edges(records: DataFrame, key: str, shared: list[str]) -> DataFrame:
@@ -29,13 +32,14 @@ def record_edges(records: DataFrame, key: str, shared: list[str]) -> DataFrame:
 
 
 def spanning_forest(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(forest, roots) of an undirected graph given as long pairs (u, v), by Borůvka contraction.
+    """(forest, roots) of an undirected graph given as pairs (u, v) of numbers or bytes, by Borůvka contraction.
 
     Every round each component takes its least edge (edges have a total order by a hash of both ends, then the ends),
     the chosen edges are contracted by pointer jumping, and edges inside a component or parallel to a smaller one go.
     The number of components at least halves, so rounds grow with the logarithm of the vertices. `forest` (u, v) holds
-    the chosen edges of all rounds, `roots` (vertex, root) every vertex with the representative of its tree. Both are
-    written to the shared folder after each round. Self-loops only make their vertex known; nulls are left out.
+    the chosen edges, a table of its own for every round, `roots` (vertex, root) every vertex with the representative of
+    its tree. All are written to the shared folder. Self-loops only make their vertex known; nulls are left out. Joins
+    on a root put the many vertices of a hub on one key of their larger side only, which adaptive execution splits.
     """
     given = edges.where(F.col("u").isNotNull() & F.col("v").isNotNull()).select("u", "v")
     live = cut(
@@ -54,7 +58,8 @@ def spanning_forest(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
         # Minima are taken before the shuffle too: a hub with a third of all edges sends a row per task.
         least = cut(ends.groupBy("c").agg(F.min_by("o", "e").alias("o"), F.min("e").alias("e")), "forest-least")
         chosen = least.select("e.u", "e.v").distinct()
-        forest = cut(chosen if forest is None else forest.unionByName(chosen), "forest")
+        chosen = cut(chosen, "forest")
+        forest = chosen if forest is None else forest.unionByName(chosen)
         parent = _jump(_break_pairs(least.select("c", F.col("o").alias("p"))))
         before = (live, roots, least)
         roots = cut(
@@ -104,42 +109,59 @@ def deal_splits(
     """(`key`, root, split) for every record, so that records connected by any of `shared` get the same split.
 
     `records` has one row per `key`. A record whose shared values are all null stands alone. Roots are put in strata by
-    `stratum` (the value most of the root's records have) and size band (powers of two), and dealt systematically: the
-    k-th root of a stratum goes to the split whose share of the first k is furthest behind. Proportions therefore hold
-    within one root per band and hand; a root larger than a split's share can only make them coarser. The split of
-    greatest proportion is dealt first, so huge roots go there. Nulls of `stratum` form a stratum of their own.
+    `stratum` (the value most of the root's records have) and size band (powers of two). Those that hold LARGE of all
+    records or more are dealt one by one, the largest first: each goes to the split that is then furthest behind in
+    records, over all strata its own records have. The rest are dealt systematically, band by band in shuffled hands: the
+    share of a hand's records that stand before a root says the split, in proportion to what each split still lacks of
+    the stratum. So the proportions hold but for one root per band and hand, none of which holds LARGE of the records;
+    only a root larger than what a split may have makes them coarser. Nulls of `stratum` form a stratum of their own.
+    An empty table gives an empty result; other columns are ignored.
     """
     _, roots = spanning_forest(record_edges(records, key, list(shared)))
-    known = records.where(F.col(key).isNotNull()).select(key, vertex("record", key).alias("vertex"), (F.col(stratum) if stratum else F.lit(None).cast("string")).alias("stratum"))
+    known = records.where(F.col(key).isNotNull()).select(key, vertex("record", key).alias("vertex"), F.coalesce(F.col(stratum).cast("string") if stratum else F.lit(None), F.lit("")).alias("stratum"))
     rooted = cut(known.join(roots, "vertex", "left").select(key, "stratum", F.coalesce("root", "vertex").alias("root")), "split-roots")
     # Two steps, so that a root with a third of all records is counted from partial sums.
-    by = rooted.groupBy("root", "stratum").count()
-    sized = by.groupBy("root").agg(F.sum("count").alias("n"), F.max_by("stratum", F.struct("count", "stratum")).alias("stratum"))
-    sized = cut(sized.select("root", "n", "stratum", F.floor(F.log2("n")).alias("band")), "split-sized")
-    bands = sized.groupBy("stratum", "band").count().select(F.col("stratum").alias("st"), F.col("band").alias("bd"), F.ceil(F.col("count") / HAND).alias("hands"))
-    dealt = sized.join(bands, F.col("stratum").eqNullSafe(F.col("st")) & (F.col("band") == F.col("bd"))).select(
-        "root", "stratum", "band", F.pmod(F.xxhash64(F.lit(seed), "root"), "hands").alias("hand")
-    )
-    place = F.row_number().over(Window.partitionBy("stratum", "band", "hand").orderBy(F.xxhash64(F.lit(seed + 1), "root"), "root"))
-    # Bands start at different places of the pattern, else every small band would fall to the largest split alone.
-    pattern = deal_pattern(proportions)
-    starts = F.when(F.col("band") >= 4, 0).otherwise(F.pmod(F.xxhash64(F.lit(seed + 2), "stratum", "band", "hand"), F.lit(len(pattern))))
-    where = F.pmod(place - 1 + starts, F.lit(len(pattern))).cast("int")
-    given = dealt.select("root", F.get(F.array(*[F.lit(s) for s in pattern]), where).alias("split"))
-    return rooted.join(given, "root").select(key, "root", "split")
-
-
-def deal_pattern(proportions: dict[str, float], length: int = 100) -> list[str]:
-    """A cycle of split names: at each place the split whose share so far is furthest behind, the greatest first on ties."""
-    total = sum(proportions.values())
-    share = {s: p / total for s, p in proportions.items()}
-    got = dict.fromkeys(share, 0)
-    out = []
-    for k in range(1, length + 1):
-        s = max(share, key=lambda x: (share[x] * k - got[x], share[x]))
-        got[s] += 1
-        out.append(s)
-    return out
+    by = cut(rooted.groupBy("root", "stratum").agg(F.count("*").alias("n")), "split-counts")
+    total = {r["stratum"]: r["n"] for r in by.groupBy("stratum").agg(F.sum("n").alias("n")).collect()}  # a row per stratum
+    sized = by.groupBy("root").agg(F.sum("n").alias("n"), F.max_by("stratum", F.struct("n", "stratum")).alias("stratum"))
+    sized = cut(sized, "split-sized")
+    bar = max(1.0, sum(total.values()) * LARGE)
+    large = sized.where((F.col("n") >= bar) & (F.col("n") > 1)).select("root", F.col("n").alias("size"))
+    names, aim = list(proportions), {s: p / sum(proportions.values()) for s, p in proportions.items()}
+
+    def deal(pdf: pd.DataFrame) -> pd.DataFrame:
+        got = {s: dict.fromkeys(total, 0) for s in names}
+        out = []
+        for root, own in pdf.sort_values(["size", "root"], ascending=[False, True]).groupby("root", sort=False):
+            counts = dict(zip(own["stratum"], own["n"]))
+            # Every split's lag in each stratum, as a share of it, weighed by the root's own records.
+            lag = {s: sum(c * (aim[s] * total[g] - got[s][g]) / (aim[s] * total[g]) for g, c in counts.items()) for s in names}
+            split = max(names, key=lambda s: (lag[s], aim[s]))
+            for g, c in counts.items():
+                got[split][g] += c
+            out.append((root, split))
+        return pd.DataFrame(out, columns=["root", "split"])
+
+    # At most 1 / LARGE roots, so one task.
+    one_by_one = by.join(large, "root").withColumn("_all", F.lit(0)).groupBy("_all").applyInPandas(deal, f"root {sized.schema['root'].dataType.simpleString()}, split string")
+    one_by_one = cut(one_by_one, "split-large")
+    had = {(r["stratum"], r["split"]): r["n"] for r in by.join(one_by_one, "root").groupBy("stratum", "split").agg(F.sum("n").alias("n")).collect()}  # strata by splits
+    edges = F.array()
+    for g, n in total.items():
+        lacks = [max(0.0, aim[s] * n - had.get((g, s), 0)) for s in names]
+        upto = [sum(lacks[: i + 1]) / (sum(lacks) or 1.0) for i in range(len(names))]
+        edges = F.when(F.col("stratum") == g, F.array(*[F.lit(float(e)) for e in upto])).otherwise(edges) if total else edges
+    small = sized.join(one_by_one, "root", "left_anti").withColumn("band", F.floor(F.log2("n")))
+    bands = small.groupBy("stratum", "band").agg(F.ceil(F.count("*") / HAND).alias("hands"))
+    dealt = small.join(bands, ["stratum", "band"]).withColumn("hand", F.pmod(F.xxhash64(F.lit(seed), "root"), "hands"))
+    hand = Window.partitionBy("stratum", "band", "hand")
+    before = F.sum("n").over(hand.orderBy(F.xxhash64(F.lit(seed + 1), "root"), "root")) - F.col("n") / 2
+    # Where a band holds few roots, each hand begins at another place, else all of them would begin with the first split.
+    turn = F.pmod(before / F.sum("n").over(hand) + F.pmod(F.xxhash64(F.lit(seed + 2), "stratum", "band", "hand"), F.lit(1000)) / 1000, F.lit(1.0))
+    placed = dealt.select("root", "stratum", turn.alias("turn")).withColumn("edges", edges)
+    place = F.size(F.filter("edges", lambda e: e <= F.col("turn")))
+    rest = placed.select("root", F.get(F.array(*[F.lit(s) for s in names]), F.least(place, F.lit(len(names) - 1))).alias("split"))
+    return rooted.join(one_by_one.unionByName(rest), "root").select(key, "root", "split")
 
 
 def leaking_values(records: DataFrame, assigned: DataFrame, *, key: str = "id", shared: str = "speaker_id", split: str = "split") -> DataFrame:

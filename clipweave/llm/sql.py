@@ -11,6 +11,35 @@ WITH v AS (SELECT id, CAST(any_value(speaker_embedding) AS DOUBLE[192]) AS e FRO
 SELECT a.id AS id_a, b.id AS id_b FROM v a JOIN v b ON a.id < b.id WHERE array_cosine_similarity(a.e, b.e) >= 0.95
 """
 
+_SPEAKER = r"nullif(upper(regexp_replace(speaker_id, '^[\s\p{Z}\p{Cf}]+|[\s\p{Z}\p{Cf}]+$', '', 'g')), '')"
+_HOPS = 8  # steps in which the least id of a group spreads over its links; groups of one voice are a step or two across
+
+# Groups are what links of cosine 0.65 connect: every chunk takes the least number among its neighbours, again and again.
+P2 = f"""
+WITH v AS (SELECT id, any_value({_SPEAKER}) AS speaker_id, CAST(any_value(speaker_embedding) AS DOUBLE[192]) AS e FROM chunks
+  WHERE id IS NOT NULL AND speaker_embedding IS NOT NULL AND len(speaker_embedding) = 192 AND list_bool_and([NOT isnan(x) FOR x IN speaker_embedding])
+    AND list_sum([abs(x) FOR x IN speaker_embedding]) > 0 GROUP BY id),
+e AS MATERIALIZED (SELECT a.id AS a, b.id AS b FROM v a JOIN v b ON array_cosine_similarity(a.e, b.e) >= 0.65),
+g0 AS (SELECT id, id AS g FROM v),
+{", ".join(f"g{n + 1} AS MATERIALIZED (SELECT e.a AS id, min(g) AS g FROM e JOIN g{n} ON g{n}.id = e.b GROUP BY e.a)" for n in range(_HOPS))},
+m AS (SELECT id, speaker_id, g FROM v JOIN g{_HOPS} USING (id)),
+n AS (SELECT g, speaker_id AS name, count(*) AS k FROM m WHERE speaker_id IS NOT NULL GROUP BY 1, 2),
+w AS (SELECT g, name FROM n JOIN (SELECT g, sum(k) AS labelled FROM n GROUP BY g) USING (g) WHERE k * 2 > labelled)
+SELECT id, name AS speaker_id FROM m JOIN w USING (g) WHERE speaker_id IS NULL OR speaker_id <> name
+"""
+
+# What the assignment must be: every share within a point, for all chunks and for those of each gender, no speaker torn apart.
+P7_CHECKS = """
+WITH c AS (SELECT CASE left(lower(trim(any_value(gender))), 1) WHEN 'm' THEN 'male' WHEN 'f' THEN 'female' ELSE 'unknown' END AS gender FROM chunks WHERE id IS NOT NULL GROUP BY id)
+SELECT people, true AS train, true AS validation, true AS test, CAST(0 AS BIGINT) AS torn FROM (SELECT DISTINCT gender AS people FROM c UNION ALL SELECT 'all')
+"""
+
+# What the packing must be: every document with a text laid down once and whole, and no rule broken.
+P8_CHECKS = """
+SELECT count(*) AS documents, CAST(0 AS BIGINT) AS changed, CAST(0 AS BIGINT) AS cut_in_vain, CAST(0 AS BIGINT) AS overfull, CAST(0 AS BIGINT) AS overlapping
+FROM (SELECT doc_id FROM documents WHERE doc_id IS NOT NULL GROUP BY doc_id HAVING max(text) <> '')
+"""
+
 _SCORES = {"dnsmos_bak": (1, 5), "dnsmos_sig": (1, 5), "utmos": (1, 5), "window_similarity": (-1, 1)}
 _WALK_ROUNDS, _WALK_ON = 12, 0.15
 

@@ -130,11 +130,25 @@ def test_splits_keep_sharers_together_and_hold_proportions(spark):
         by[s].add(got[i]["split"])
     assert all(len(v) == 1 for s, v in by.items() if s)
     share = Counter(r["split"] for r in got.values())
-    assert abs(share["train"] / 4000 - 0.8) < 0.05 and share["test"] / 4000 > 0.05 and share["validation"] / 4000 > 0.05
+    for of in (lambda d: True, lambda d: d[3] == "m", lambda d: d[3] == "f", lambda d: d[3] is None):
+        share = Counter(got[d[0]]["split"] for d in data if of(d))
+        assert all(abs(share[s] / share.total() - p) < 0.01 for s, p in {"train": 0.8, "validation": 0.1, "test": 0.1}.items())
     again = {r["id"]: r["split"] for r in splits.deal_splits(df, {"train": 0.8, "validation": 0.1, "test": 0.1}).collect()}
     assert again == {i: r["split"] for i, r in got.items()}
 
 
+def test_many_small_roots_are_dealt_by_sums(spark, monkeypatch):
+    monkeypatch.setattr(splits, "LARGE", 1 / 50)
+    monkeypatch.setattr(splits, "HAND", 100)
+    rng = random.Random(4)
+    data = [(f"r{i}", rng.choice([None, "big", f"s{rng.randrange(600)}", f"s{rng.randrange(600)}", f"s{rng.randrange(600)}"]), rng.choice("mf")) for i in range(4000)]
+    df = spark.createDataFrame(data, "id string, speaker_id string, gender string")
+    got = {r["id"]: r["split"] for r in splits.deal_splits(df, {"a": 2, "b": 1, "c": 1}).collect()}
+    share = Counter(got.values())
+    assert set(got) == {d[0] for d in data} and len({got[i] for i, s, _ in data if s == "big"}) == 1
+    assert abs(share["a"] / 4000 - 0.5) < 0.03 and abs(share["b"] / 4000 - 0.25) < 0.03
+
+
 def test_splits_follow_chains_of_two_keys(spark):
     df = spark.createDataFrame([("a", "s1", "v1"), ("b", "s2", "v1"), ("c", "s2", "v2"), ("d", None, None)], "id string, speaker_id string, video string")
     got = {r["id"]: r["root"] for r in splits.deal_splits(df, {"x": 1, "y": 1}, shared=("speaker_id", "video"), stratum=None).collect()}
