@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from clipweave.session import cut
 
@@ -89,8 +90,12 @@ def _resolve_ties(ties: DataFrame, limit: float) -> DataFrame:
     """(c, k, kept) of the rows at the cutoff, in order of key while `above` and what precedes stays under the limit.
 
     Groups over TIE_BLOCK are narrowed by the next character of the key: totals by character tell which characters lie
-    wholly before or after the boundary, and only the one that holds it stays open.
+    wholly before or after the boundary, and only the one that holds it stays open. Whole numbers are written with
+    twenty digits for that, so that their characters are in the order of the numbers.
     """
+    spelt = F.col("k").cast("string")
+    if isinstance(ties.schema["k"].dataType, IntegralType):
+        spelt = F.lpad((F.col("k").cast("decimal(20,0)") + F.lit(1 << 63).cast("decimal(20,0)")).cast("decimal(20,0)").cast("string"), 20, "0")
     ties = cut(ties, "cap-ties")
     settled: list[DataFrame] = []
     at = 0
@@ -98,7 +103,7 @@ def _resolve_ties(ties: DataFrame, limit: float) -> DataFrame:
         sizes = ties.groupBy("c").count().where(F.col("count") > TIE_BLOCK).select("c")
         if not sizes.limit(1).count():
             break
-        large = ties.join(sizes, "c", "left_semi").withColumn("ch", F.substring(F.col("k").cast("string"), at + 1, 1))
+        large = ties.join(sizes, "c", "left_semi").withColumn("ch", F.substring(spelt, at + 1, 1))
         small = ties.join(sizes, "c", "left_anti")
         order = Window.partitionBy("c").orderBy("ch")
         by_char = large.groupBy("c", "ch").agg(F.sum("w").alias("cw"), F.first("above").alias("above"))

@@ -139,7 +139,8 @@ def similarity_clusters(records: DataFrame, *, key: str = "id", column: str = "s
 
     One pass grows a feature tree per task, and trees are merged by branch, FAN_IN at a time. Merged leaves meet those
     of other branches in their MEETINGS nearest branches, where Ward agglomeration links them; linked leaves are
-    contracted to clusters by a distributed spanning forest. A second pass assigns every row to the nearest centre of
+    contracted to clusters by a distributed spanning forest. Leaves that are linked in any meeting become one cluster, so
+    across branches clusters are joined by single links between Ward groups. A second pass assigns every row to the nearest centre of
     its branch; a branch with many rows is dealt to many tasks. What leaves a task before that is a feature per leaf.
     """
     spark = records.sparkSession

@@ -172,7 +172,7 @@ def p8_checks(spark: SparkSession, folder: str) -> DataFrame:
     boxes = packed.groupBy("container").agg(F.sum("used").alias("fill"), F.max(F.col("offset") + F.col("used")).alias("end"), F.count_distinct("offset").alias("starts"), F.count("*").alias("n"))
     whole = packed.groupBy("doc_id").agg(F.sum("used").alias("laid"), F.count("*").alias("parts")).join(sizes, "doc_id", "full")
     bad = F.coalesce(F.col("laid"), F.lit(0)) != F.coalesce(F.col("tokens"), F.lit(0))
-    counts = whole.agg(F.count_if("laid > 0").alias("documents"), F.count_if(bad).alias("changed"), F.count_if((F.col("parts") > 1) & (F.col("tokens") <= packing.CAPACITY)).alias("cut_in_vain"))
+    counts = whole.agg(F.count_if(F.col("laid") > 0).alias("documents"), F.count_if(bad).alias("changed"), F.count_if((F.col("parts") > 1) & (F.col("tokens") <= packing.CAPACITY)).alias("cut_in_vain"))
     loose = boxes.agg(F.count_if(F.col("fill") > packing.CAPACITY).alias("overfull"), F.count_if((F.col("fill") != F.col("end")) | (F.col("starts") != F.col("n"))).alias("overlapping"))
     return counts.crossJoin(loose)  # a row each
 

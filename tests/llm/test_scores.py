@@ -33,6 +33,14 @@ def test_cap_equals_sorting(spark, seed, monkeypatch):
         assert {r["id"] for r in got.where("NOT kept").collect()} == brute_cap(records, limit)
 
 
+def test_ties_of_numeric_keys_are_in_order_of_the_numbers(spark, monkeypatch):
+    monkeypatch.setattr(cap, "TIE_BLOCK", 3)
+    records = [(i, "a", 5, 10) for i in [*range(-30, 120), 10**15, -(1 << 63), (1 << 63) - 1]]
+    df = spark.createDataFrame(records, "id long, contributor string, score long, weight long")
+    for limit in (10, 315, 400, 1200, 10**6):
+        assert {r["id"] for r in cap.cap_contributors(df, limit).where("NOT kept").collect()} == brute_cap(records, limit)
+
+
 def test_cap_takes_odd_input(spark):
     schema = "id string, contributor string, score long, weight long, kept string, c int, k int, s int"
     records = [("a", "x", None, None, "clash", 1, 1, 1), ("b", "x", 5, 10, "clash", 1, 1, 1), ("c", "x", 5, 10, "", 1, 1, 1), ("d", None, 1, 99, "", 1, 1, 1), ("e", "x", 4, -3, "", 1, 1, 1)]
