@@ -95,7 +95,7 @@ def _resolve_ties(ties: DataFrame, limit: float) -> DataFrame:
     """
     spelt = F.col("k").cast("string")
     if isinstance(ties.schema["k"].dataType, IntegralType):
-        spelt = F.lpad((F.col("k").cast("decimal(20,0)") + F.lit(1 << 63).cast("decimal(20,0)")).cast("decimal(20,0)").cast("string"), 20, "0")
+        spelt = F.lpad((F.col("k").cast("decimal(20,0)") + F.lit(str(1 << 63)).cast("decimal(20,0)")).cast("decimal(20,0)").cast("string"), 20, "0")
     ties = cut(ties, "cap-ties")
     settled: list[DataFrame] = []
     at = 0
