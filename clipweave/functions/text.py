@@ -91,19 +91,32 @@ def cer_within(ref: Column, hyp: Column, limit: float) -> Column:
 
 
 def has_repetition_loop(text: Column, repeats: int = 6) -> Column:
-    """Whether blocks of one, two or three words, counted from the first word, follow each other equal `repeats` times."""
-    w = F.split(strip_tags(text), " ")
-
-    def looped(n: int) -> Column:
-        blocks = F.transform(F.sequence(F.lit(0), F.greatest(F.lit(0), F.floor(F.size(w) / n).cast("int") - 1)), lambda k: F.array_join(F.slice(w, k * n + 1, n), " "))
-        run = F.aggregate(
-            blocks,
-            F.struct(F.lit("").alias("last"), F.lit(0).alias("run"), F.lit(0).alias("best")),
-            lambda a, b: F.struct(b.alias("last"), F.when(a["last"] == b, a["run"] + 1).otherwise(1).alias("run"), F.greatest(a["best"], F.when(a["last"] == b, a["run"] + 1).otherwise(1)).alias("best")),
-        )
-        return run["best"] >= repeats
-
-    return (F.length(strip_tags(text)) > 0) & (looped(1) | looped(2) | looped(3))
+    """Whether blocks of one, two or three words, counted from the first word, follow each other equal `repeats` times.
+
+    The words are split once, as the only element of an array, so that the steps over them read them from a variable; the
+    work grows with their number.
+    """
+
+    def looped(w: Column, n: int) -> Column:
+        blocks = F.floor(F.size(w) / n).cast("int")
+
+        def same(k: Column) -> Column:
+            out = F.get(w, k * n) == F.get(w, k * n - n)
+            for j in range(1, n):
+                out = out & (F.get(w, k * n + j) == F.get(w, k * n - n + j))
+            return out
+
+        start = F.struct(F.lit(1).alias("run"), F.lit(1).alias("best"))
+
+        def step(a: Column, k: Column) -> Column:
+            run = F.when(same(k), a["run"] + 1).otherwise(1)
+            return F.struct(run.alias("run"), F.greatest(a["best"], run).alias("best"))
+
+        return F.when(blocks >= repeats, F.aggregate(F.sequence(F.lit(1), F.greatest(blocks - 1, F.lit(1))), start, step)["best"] >= repeats).otherwise(False)
+
+    plain = strip_tags(text)
+    words = F.filter(F.array(F.split(plain, " ")), lambda w: looped(w, 1) | looped(w, 2) | looped(w, 3))
+    return F.when(text.isNotNull(), (F.length(plain) > 0) & (F.size(words) > 0))
 
 
 def sanity_flags(text: Column, seconds: Column, *, slowest: float = 4.0, fastest: float = 28.0, least_arabic: float = 0.5) -> Column:

@@ -8,31 +8,31 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from clipweave.functions import kernels as K
+from clipweave.operators.timeseries import speech_masks
 
 
-def planned_clips(frames: DataFrame, *, settings: K.CutSettings = K.CutSettings(), guard_sec: float = 0.15, most_silence_sec: float = 1.5, allow_dips: bool = False) -> DataFrame:
-    """(video_id, speaker, start, end, weak) of the clips of every video and voice.
+def planned_clips(frames: DataFrame, *, settings: K.CutSettings = K.CutSettings(), guard_sec: float = 0.3, most_silence_sec: float = 1.5, allow_dips: bool = False) -> DataFrame:
+    """(video_id, speaker, start, end, start_cut, end_cut, start_pause, end_pause, speech_ratio, max_internal_silence, weak) of the clips of every video and voice.
 
     `frames` has a row (video_id, frame, probs, vad, db) per step of `settings.step`, in any order: probs holds the
     probability of each speaker. A video's frames are one group: an hour has 360,000 of them.
     """
     s = settings
+    fields = list(K.Clip._fields)
 
     def plan(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("frame")
         diar, vad, db = np.stack(pdf["probs"].to_numpy()), pdf["vad"].to_numpy(), pdf["db"].to_numpy()
-        voiced = vad > 0.5
-        level = np.median(db[voiced]) if voiced.any() else db.max()
-        quiet = db < level - 25
-        speech, pause = voiced & ~quiet, (vad < 0.35) | quiet
+        speech, pause = pdf["speech"].to_numpy(bool), pdf["pause"].to_numpy(bool)
         rows = []
         for k in range(diar.shape[1]):
             for region in K.own_regions(diar, speech, k, guard=round(guard_sec / s.step), most_silence=round(most_silence_sec / s.step), pad=round(s.pad / s.step)):
-                rows += [(pdf["video_id"].iloc[0], k, *c) for c in K.plan_clips(speech, pause, vad, db, region, s, allow_dips=allow_dips)]
-        return pd.DataFrame(rows, columns=["video_id", "speaker", "start", "end", "weak"])
+                rows += [(pdf["video_id"].iloc[0], k, *c, c.weak) for c in K.plan_clips(speech, pause, vad, db, region, s, allow_dips=allow_dips)]
+        return pd.DataFrame(rows, columns=["video_id", "speaker", *fields, "weak"])
 
-    picked = frames.select("video_id", "frame", "probs", "vad", "db")
-    return picked.groupBy("video_id").applyInPandas(plan, "video_id string, speaker int, start double, end double, weak boolean")
+    picked = speech_masks(frames.select("video_id", "frame", "probs", "vad", "db"), keys=["video_id"])
+    kinds = ", ".join(f"{f} {'string' if f.endswith('_cut') else 'double'}" for f in fields)
+    return picked.groupBy("video_id").applyInPandas(plan, f"video_id string, speaker int, {kinds}, weak boolean")
 
 
 def split_turns(turns: DataFrame, levels: DataFrame, *, step: float, longest: float = 30.0) -> DataFrame:

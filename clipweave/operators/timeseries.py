@@ -76,19 +76,31 @@ def speech_masks(frames: DataFrame, *, keys: list[str], voiced: float = 0.5, pau
 
 
 def regrid(series: DataFrame, *, keys: list[str], value: str, frame_sec: float, step_sec: float = 0.01) -> DataFrame:
-    """(*keys, frame, value) on a finer grid: each step takes the frame it falls in, the last frame goes on to the end."""
-    per = max(1, round(frame_sec / step_sec))
+    """(*keys, frame, value) on another grid: step i takes the frame floor(i * step / frame), the last frame goes on to the end.
+
+    Frames need not be whole multiples of steps: of 32 ms frames on a grid of 10 ms some make three steps and some four,
+    so that nothing drifts. Each frame names the steps about it and keeps those that are its own; nothing is joined.
+    """
+    per = frame_sec / step_sec
     last = F.max("frame").over(Window.partitionBy(*keys))
-    spread = series.withColumn("_l", last).select(*keys, F.col("frame").alias("_f"), value, F.explode(F.sequence(F.lit(0), F.lit(per - 1))).alias("_o"))
-    return spread.select(*keys, (F.col("_f") * per + F.col("_o")).alias("frame"), value)
+    first = F.greatest(F.floor(F.col("frame") * per) - 1, F.lit(0))
+    spread = series.withColumn("_l", last).select(*keys, F.col("frame").alias("_f"), value, "_l", F.explode(F.sequence(first, F.ceil((F.col("frame") + 1) * per) + 1)).alias("_i"))
+    steps = F.round((F.col("_l") + 1) * per)
+    own = spread.where((F.col("_i") < steps) & (F.least(F.floor(F.col("_i") * step_sec / frame_sec), F.col("_l")) == F.col("_f")))
+    return own.select(*keys, F.col("_i").alias("frame"), value)
 
 
-def window_cover(videos: DataFrame, *, key: str, duration: str, window: float, overlap: float) -> DataFrame:
-    """(`key`, n, start, end) of the windows that cover a length, each `overlap` into the next; the last ends with it."""
-    step = window - overlap
-    count = F.greatest(F.lit(1), F.ceil((F.col(duration) - overlap) / step).cast("int"))
+def window_cover(videos: DataFrame, *, key: str, duration: str, window: float, overlap: float, frame_sec: float = 0.08) -> DataFrame:
+    """(`key`, n, start, end) of the windows that cover a length, each `overlap` into the next; the last ends with it.
+
+    Windows begin and end on frames: window and step are whole numbers of frames, rounded down, at least one.
+    """
+    frames = max(1, int(window / frame_sec + 1e-9))
+    step = max(1, int(frames - overlap / frame_sec + 1e-9)) * frame_sec
+    size = frames * frame_sec
+    count = 1 + F.greatest(F.lit(0), F.ceil((F.col(duration) - size) / step - 1e-9).cast("int"))
     cut = videos.where(F.col(duration) > 0).select(key, F.col(duration).alias("_d"), F.explode(F.sequence(F.lit(0), count - 1)).alias("n"))
-    return cut.select(key, "n", F.round(F.col("n") * step, 3).alias("start"), F.round(F.least(F.col("n") * step + window, F.col("_d")), 3).alias("end"))
+    return cut.select(key, "n", F.round(F.col("n") * step, 3).alias("start"), F.round(F.least(F.col("n") * step + size, F.col("_d")), 3).alias("end"))
 
 
 def sliding_windows(clips: DataFrame, *, key: str, duration: str, window: float = 3.0, hop: float = 1.5) -> DataFrame:

@@ -1,3 +1,5 @@
+from itertools import combinations
+
 import numpy as np
 import pytest
 
@@ -19,43 +21,77 @@ def timeline(parts):
 def clips_of(parts, speaker=0, s=K.CutSettings(), **more):
     diar, vad, db = timeline(parts)
     speech, pause = vad > 0.5, vad < 0.35
-    regions = K.own_regions(diar, speech, speaker, guard=15, most_silence=150, pad=15)
+    regions = K.own_regions(diar, speech, speaker, guard=30, most_silence=150, pad=15)
     return [c for r in regions for c in K.plan_clips(speech, pause, vad, db, r, s, **more)]
 
 
 def test_a_short_turn_is_one_clip_with_padding():
-    (start, end, weak), = clips_of([(1, "pause"), (8, "s0"), (1, "pause")])
-    assert 0.8 <= start <= 1.0 and 9.0 <= end <= 9.2 and not weak
+    (c,) = clips_of([(1, "pause"), (8, "s0"), (1, "pause")])
+    assert 0.8 <= c.start <= 1.0 and 9.0 <= c.end <= 9.2 and not c.weak and (c.start_cut, c.end_cut) == ("turn", "turn")
 
 
 def test_a_monologue_is_cut_in_its_pauses():
     parts = [(1, "pause")] + [p for _ in range(8) for p in ((9, "s0"), (0.5, "pause"))]
     got = clips_of(parts)
-    assert len(got) >= 3 and all(5 <= e - s <= 30.3 for s, e, _ in got) and sum(e - s for s, e, _ in got) > 60
+    assert len(got) >= 3 and all(5 <= c.end - c.start <= 30 for c in got) and sum(c.end - c.start for c in got) > 60
 
 
 def test_no_clip_touches_another_voice_or_overlap():
-    got = clips_of([(10, "s0"), (2, "overlap"), (10, "s0"), (0.5, "pause"), (6, "s1"), (0.5, "pause"), (7, "s0")])
-    assert got
-    for s, e, _ in got:
-        assert not (s < 12.15 and e > 9.85) and not (s < 28.65 and e > 22.35)
+    got = clips_of([(1, "pause"), (7, "s0"), (0.4, "pause"), (3, "s0"), (2, "overlap"), (3, "s0"), (0.4, "pause"), (7, "s0"), (0.5, "pause"), (6, "s1"), (0.5, "pause"), (7, "s0"), (1, "pause")])
+    assert len(got) == 3
+    for c in got:
+        assert not (c.start < 13.7 and c.end > 11.1) and not (c.start < 30.6 and c.end > 24.0)
+
+
+def test_an_edge_in_speech_is_no_place_to_cut():
+    assert clips_of([(10, "s0"), (2, "overlap"), (10, "s0")]) == []
+    (c,) = clips_of([(1, "pause"), (9, "s0"), (0.5, "pause"), (9, "s0"), (2, "overlap")])
+    assert c.end < 10.6 and c.end_cut == "pause" and c.end_pause == 0.5 and c.speech_ratio > 0.9 and c.max_internal_silence == 0
 
 
 def test_long_silence_splits_and_short_turns_drop():
-    assert len(clips_of([(6, "s0"), (3, "pause"), (6, "s0")])) == 2
+    assert len(clips_of([(1, "pause"), (6, "s0"), (3, "pause"), (6, "s0"), (1, "pause")])) == 2
     assert clips_of([(1, "pause"), (3, "s0"), (1, "pause")]) == []
 
 
+def brute_regions(diar, speech, k, guard, most, pad):
+    """Regions frame by frame, from the rule."""
+    n, out = len(speech), []
+    others = [any(diar[f, j] > 0.2 for j in range(diar.shape[1]) if j != k) for f in range(n)]
+    nobody = [not (diar[f] > 0.2).any() for f in range(n)]
+    bad = [others[f] or (speech[f] and nobody[f]) for f in range(n)]
+    free = [not any(bad[max(0, f - guard) : f + guard + 1]) and ((diar[f, k] > 0.2 and not others[f]) or (nobody[f] and not speech[f])) for f in range(n)]
+    said = [f for f in range(n) if free[f] and speech[f] and diar[f, k] > 0.5]
+    for i, f in enumerate(said):
+        parted = i == 0 or f - said[i - 1] > most or not all(free[said[i - 1] : f])
+        out = [*out, [f, f + 1]] if parted else [*out[:-1], [out[-1][0], f + 1]]
+    for r in out:
+        for _ in range(2 * pad):
+            r[0] -= r[0] > 0 and free[r[0] - 1]
+            r[1] += r[1] < n and free[r[1]]
+    return [tuple(map(int, r)) for r in out]
+
+
+def test_regions_equal_the_rule():
+    rng = np.random.default_rng(0)
+    for _ in range(60):
+        at = np.repeat(rng.integers(0, 4, 30), rng.integers(1, 12, 30))
+        diar = np.stack([np.where(at == k, rng.choice([0.95, 0.3], len(at), p=[0.8, 0.2]), 0.0) for k in (0, 1)], axis=1)
+        speech = (at < 2) | ((at == 2) & (rng.random(len(at)) < 0.05))
+        for k in (0, 1):
+            assert K.own_regions(diar, speech, k, guard=2, most_silence=6, pad=2) == brute_regions(diar, speech, k, 2, 6, 2)
+
+
 def test_dips_are_weak_cuts():
     diar, vad, db = timeline([(1, "pause"), (58, "s0"), (1, "pause")])
     for at in range(1000, 5800, 900):
         db[at - 5 : at + 5] = -35
         vad[at - 5 : at + 5] = 0.6
     speech, pause = vad > 0.5, vad < 0.35
-    region = K.own_regions(diar, speech, 0, guard=15, most_silence=150, pad=15)[0]
+    region = K.own_regions(diar, speech, 0, guard=30, most_silence=150, pad=15)[0]
     assert K.plan_clips(speech, pause, vad, db, region, K.CutSettings()) == []
     got = K.plan_clips(speech, pause, vad, db, region, K.CutSettings(), allow_dips=True)
-    assert len(got) >= 2 and any(w for *_, w in got)
+    assert len(got) >= 2 and any(c.weak for c in got)
 
 
 def brute_plan(nodes, s):
@@ -99,8 +135,20 @@ def test_ctc_path():
     lp = np.log(np.full((6, 3), 0.05))
     for f, t in enumerate([0, 1, 1, 0, 2, 0]):
         lp[f, t] = np.log(0.9)
-    assert K.ctc_path(lp, [1, 2]) == [(1, 2), (4, 4)] and K.ctc_path(lp, [1, 1, 1, 1]) is None and K.ctc_path(lp, []) is None
-    assert K.word_spans([(1, 2), (4, 4)], [0, 2], 3, 0.1) == [(0.1, pytest.approx(0.3)), None, (0.4, 0.5)]
+    frames, scores = K.ctc_path(lp, [1, 1, 2])
+    assert frames == [1, 2, 4] and np.allclose(scores, np.log(0.9)) and K.ctc_path(lp, [1] * 7) is None and K.ctc_path(lp, []) is None
+    spans, score = K.word_spans((frames, scores), [0, -1, 2], 3, 0.1)
+    assert spans == [(0.1, 0.2), None, (0.4, 0.5)] and score == round(float(np.log(0.9)), 4) and K.word_spans(([], []), [], 2, 0.1) == ([None, None], -99.0)
+
+
+def test_ctc_path_is_the_best():
+    rng = np.random.default_rng(1)
+    for _ in range(30):
+        lp = np.log(rng.dirichlet(np.ones(4), 7))
+        tokens = rng.integers(1, 4, 3).tolist()
+        frames, scores = K.ctc_path(lp, tokens)
+        total = lambda at: sum(lp[f, t] for f, t in zip(at, tokens)) + sum(lp[f, 0] for f in range(7) if f not in at)
+        assert total(tuple(frames)) == pytest.approx(max(map(total, combinations(range(7), 3))))
 
 
 def test_levels_and_fades():

@@ -15,7 +15,7 @@ def test_planned_clips_of_every_voice(spark):
     data = [("v", i, [float(x) for x in p], float(a), float(b)) for i, (p, a, b) in enumerate(zip(diar, vad, db))]
     df = spark.createDataFrame(data, "video_id string, frame int, probs array<double>, vad double, db double").repartition(3)
     got = rows(segment.planned_clips(df))
-    assert [(g[1], g[4]) for g in got] == [(0, False), (1, False)] and all(7.9 < g[3] - g[2] < 9.5 for g in got)
+    assert [(g[1], g[4], g[5], g[-1]) for g in got] == [(0, "turn", "turn", False), (1, "turn", "turn", False)] and all(7.9 < g[3] - g[2] < 9.5 for g in got)
 
 
 def test_long_turns_are_split_where_quiet(spark):
