@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from clipweave.operators.order import placed
 from clipweave.session import cut
 
 
@@ -46,9 +47,21 @@ def diverse_cap(clips: DataFrame, cap_ms: int, *, group: str = "speaker_id", vid
 
 
 def best_until(clips: DataFrame, limit_ms: int, *, group: str, key: str = "id", ms: str = "ms", score: str = "score") -> DataFrame:
-    """Of each group the best clips, as long as those before them amount to less than `limit_ms`."""
-    order = Window.partitionBy(group).orderBy(F.desc(score), F.col(key)).rowsBetween(Window.unboundedPreceding, -1)
-    return clips.withColumn("_before", F.coalesce(F.sum(ms).over(order), F.lit(0))).where(F.col("_before") < limit_ms).drop("_before")
+    """Of each group the best clips, as long as those before them amount to less than `limit_ms`.
+
+    Totals by group and score, combined before the shuffle, tell each group's score at the limit; only clips of that score are
+    put in order, so a group with a third of all clips is never sorted. A group has as many totals as distinct scores.
+    """
+    known = clips.where(F.col(group).isNotNull())
+    totals = known.groupBy(group, score).agg(F.sum(ms).alias("_ms"))
+    down = Window.partitionBy(group).orderBy(F.desc(score)).rowsBetween(Window.unboundedPreceding, -1)
+    run = totals.withColumn("_above", F.coalesce(F.sum("_ms").over(down), F.lit(0))).where(F.col("_above") < limit_ms)
+    edge = run.groupBy(group).agg(F.min_by(F.struct(F.col(score).alias("at"), "_above"), score).alias("_e"))
+    marked = known.join(edge, group)
+    order = Window.partitionBy(group).orderBy(F.col(key)).rowsBetween(Window.unboundedPreceding, -1)
+    last = marked.where(F.col(score) == F.col("_e.at"))
+    last = last.withColumn("_b", F.col("_e._above") + F.coalesce(F.sum(ms).over(order), F.lit(0))).where(F.col("_b") < limit_ms).drop("_b")
+    return marked.where(F.col(score) > F.col("_e.at")).unionByName(last).drop("_e").select(*clips.columns)
 
 
 def target_size(clips: DataFrame, limit_ms: int, *, key: str = "id", ms: str = "ms", score: str = "score", step: float = 0.001) -> DataFrame:
@@ -101,15 +114,12 @@ def sample_per_reason(clips: DataFrame, n: int, key: str = "id", seed: int = 0)
 def test_speakers(totals: DataFrame, n: int, *, speaker: str = "speaker_id", ms: str = "ms", gender: str = "gender", least_ms: int = 180_000, seed: int = 0) -> DataFrame:
     """Speakers held out for testing: of the middle half by size, in seeded order, genders in turn, at most all but one.
 
-    `totals` has one row per speaker. Numbering is by size over all speakers, whose number is small beside the clips'.
+    `totals` has one row per speaker. Places by size are counted in blocks; of each gender only the first `n` in seeded order
+    can be taken, so no task orders all speakers.
     """
-    pool = totals.where(F.col(ms) >= least_ms)
-    size = F.count("*").over(Window.partitionBy())
-    place = F.row_number().over(Window.orderBy(ms, speaker)) - 1
-    placed = pool.withColumns({"_n": size, "_i": place})
-    low, high = F.floor(F.col("_n") / 4), F.floor(3 * F.col("_n") / 4)
-    middle = placed.where((low >= high) | ((F.col("_i") >= low) & (F.col("_i") < high)))
+    pool, size = placed(totals.where(F.col(ms) >= least_ms), ms, speaker)
+    low, high = size // 4, 3 * size // 4
+    middle = pool if low >= high else pool.where((F.col("_place") > low) & (F.col("_place") <= high))
     turn = F.row_number().over(Window.partitionBy(gender).orderBy(seeded(speaker, seed=seed), speaker))
-    dealt = middle.withColumn("_turn", turn)
-    rank = F.row_number().over(Window.orderBy("_turn", gender, speaker))
-    return dealt.withColumn("_r", rank).where((F.col("_r") <= n) & (F.col("_r") <= F.col("_n") - 1)).select(speaker)
+    first = middle.withColumn("_turn", turn).where(F.col("_turn") <= n)
+    return first.orderBy("_turn", gender, speaker).limit(max(0, min(n, size - 1))).select(speaker)

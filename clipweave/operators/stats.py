@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from clipweave.operators.order import placed
+
 
 def hours(ms: str = "ms", digits: int = 6) -> Column:
     """Summed milliseconds in hours; null counts as 0."""
@@ -49,10 +51,10 @@ def gini(values: DataFrame, column: str) -> DataFrame:
 
 
 def lorenz(groups: DataFrame, key: str, column: str) -> DataFrame:
-    """(`key`, place, share): cumulative share of the total, the smallest first, ties by key."""
-    order = Window.orderBy(column, key)
-    total = F.sum(column).over(Window.partitionBy())
-    return groups.select(key, F.row_number().over(order).alias("place"), F.round(F.sum(column).over(order) / total, 6).alias("share"))
+    """(`key`, place, share): cumulative share of the total, the smallest first, ties by key; sums run in blocks of values."""
+    ordered, _ = placed(groups, column, key)
+    total = groups.agg(F.sum(column)).first()[0]
+    return ordered.select(key, F.col("_place").alias("place"), F.round(F.col("_running") / F.nullif(F.lit(total), F.lit(0)), 6).alias("share"))
 
 
 def histogram(rows: DataFrame, column: str, bins: int = 50) -> DataFrame:
@@ -76,13 +78,13 @@ def boxes(stages: dict[str, DataFrame], metrics: list[str]) -> DataFrame:
     return out
 
 
-def funnel(stages: dict[str, DataFrame], ms: str = "ms") -> DataFrame:
-    """(stage, clips, hours) of every stage."""
-    out = None
-    for stage, df in stages.items():
-        one = df.agg(F.count("*").alias("clips"), hours(ms).alias("hours")).select(F.lit(stage).alias("stage"), "clips", "hours")
-        out = one if out is None else out.unionByName(one)
-    return out
+def flag_funnel(rows: DataFrame, stages: dict[str, Column], ms: str = "ms") -> DataFrame:
+    """(stage, clips, hours) of the rows that are in each stage, by one aggregate; a null flag is no."""
+    length = F.coalesce(F.col(ms), F.lit(0))
+    counts = [F.count_if(F.coalesce(c, F.lit(False))).alias(f"n_{s}") for s, c in stages.items()]
+    sums = [F.sum(F.when(c, length).otherwise(0)).alias(f"ms_{s}") for s, c in stages.items()]
+    out = [F.struct(F.lit(s).alias("stage"), F.col(f"n_{s}").alias("clips"), F.round(F.coalesce(F.col(f"ms_{s}"), F.lit(0)) / 3_600_000.0, 6).alias("hours")) for s in stages]
+    return rows.agg(*counts, *sums).select(F.inline(F.array(*out)))
 
 
 def crosstab(rows: DataFrame, a: str, b: str, values: list[str]) -> DataFrame:
@@ -95,6 +97,64 @@ def top_counts(rows: DataFrame, column: str, k: int) -> DataFrame:
     return rows.groupBy(column).agg(F.count("*").alias("n")).orderBy(F.desc("n"), column).limit(k)
 
 
+def top_hours(rows: DataFrame, column: str, k: int, ms: str = "ms") -> DataFrame:
+    """(column, hours) of the k values with most hours, ties by value; nulls are left out."""
+    per = rows.where(F.col(column).isNotNull()).groupBy(column).agg(F.sum(F.coalesce(F.col(ms), F.lit(0))).alias("_ms"))
+    return per.orderBy(F.desc("_ms"), column).limit(k).select(column, F.round(F.col("_ms") / 3_600_000.0, 6).alias("hours"))
+
+
+def before_and_after(before: DataFrame, after: DataFrame, column: str, k: int, ms: str = "ms") -> DataFrame:
+    """(column, before, after): hours of the k values that had most, and what they have now, null if nothing."""
+    top = top_hours(before, column, k, ms).withColumnRenamed("hours", "before")
+    now = after.groupBy(column).agg(hours(ms).alias("after"))
+    return top.join(now, column, "left")
+
+
+def cluster_report(speakers: DataFrame, ms: str = "ms", gender: str = "gender") -> DataFrame:
+    """(gender, speakers, hours, share, mean_h, median_h, min_minutes, max_h, five_minutes, one_hour, ten_hours) for all speakers, as "all", and by gender.
+
+    `speakers` has one row each; the last three count those with so much at least.
+    """
+    h = 3_600_000.0
+    spread = speakers.select(F.explode(F.array(F.lit("all"), F.coalesce(F.col(gender), F.lit("?")))).alias("gender"), F.col(ms).alias("ms"))
+    facts = spread.groupBy("gender").agg(
+        F.count("*").alias("speakers"), F.sum("ms").alias("_ms"), F.percentile("ms", 0.5).alias("_mid"), F.min("ms").alias("_low"), F.max("ms").alias("_top"),
+        *[F.count_if(F.col("ms") >= least).alias(name) for name, least in (("five_minutes", 300_000), ("one_hour", 3_600_000), ("ten_hours", 36_000_000))],
+    )
+    total = speakers.agg(F.sum(ms)).first()[0] or 1
+    return facts.select(
+        "gender", "speakers", F.round(F.col("_ms") / h, 6).alias("hours"), F.round(F.col("_ms") / total, 6).alias("share"), F.round(F.col("_ms") / F.col("speakers") / h, 6).alias("mean_h"),
+        F.round(F.col("_mid") / h, 6).alias("median_h"), F.round(F.col("_low") / 60_000.0, 6).alias("min_minutes"), F.round(F.col("_top") / h, 6).alias("max_h"), "five_minutes", "one_hour", "ten_hours",
+    )
+
+
+def corpus_stats(clips: DataFrame, metrics: list[str], ms: str = "ms") -> DataFrame:
+    """(name, value): clips, hours, distinct speakers, videos and channels, length and means of metrics, all in one pass."""
+    sec = F.col(ms) / 1000.0
+    wanted = {
+        "clips": F.count("*").cast("double"), "hours": F.sum(F.coalesce(F.col(ms), F.lit(0))) / 3_600_000.0, "speakers": F.count_distinct("speaker_id").cast("double"), "videos": F.count_distinct("video_id").cast("double"),
+        "channels": F.count_distinct("channel").cast("double"), "mean_sec": F.avg(sec), "median_sec": F.percentile(sec, 0.5), "min_sec": F.min(sec), "max_sec": F.max(sec), **{f"mean_{m}": F.avg(m) for m in metrics},
+    }
+    one = clips.agg(*[e.alias(n) for n, e in wanted.items()])
+    return one.select(F.inline(F.array(*[F.struct(F.lit(n).alias("name"), F.round(F.col(n), 4).alias("value")) for n in wanted])))
+
+
+def largest_share(groups: DataFrame, ms: str = "ms") -> DataFrame:
+    """One row: the greatest group's share of all."""
+    return groups.agg(F.round(F.max(ms) / F.nullif(F.sum(ms), F.lit(0)), 6).alias("share"))
+
+
+def step_status(items: DataFrame, steps: dict[str, DataFrame], key: str = "id", ms: str = "ms") -> DataFrame:
+    """(step, done, total, hours): of all items how many each step has done, and their hours; one left join and one pass."""
+    marked = items
+    for name, done in steps.items():
+        marked = marked.join(done.select(F.col(key)).distinct().withColumn(f"_{name}", F.lit(True)), key, "left")
+    length = F.coalesce(F.col(ms), F.lit(0))
+    sums = marked.agg(F.count("*").alias("total"), *[F.count(f"_{n}").alias(f"n_{n}") for n in steps], *[F.sum(F.when(F.col(f"_{n}"), length).otherwise(0)).alias(f"ms_{n}") for n in steps])
+    rows = [F.struct(F.lit(n).alias("step"), F.col(f"n_{n}").alias("done"), F.col("total"), F.round(F.col(f"ms_{n}") / 3_600_000.0, 6).alias("hours")) for n in steps]
+    return sums.select(F.inline(F.array(*rows)))
+
+
 def speaker_rollup(clips: DataFrame, speaker: str = "speaker_id", video: str = "video_id", channel: str = "channel", ms: str = "ms") -> DataFrame:
     """Per speaker: hours, clips, distinct videos and channels, and the channels by name."""
     known = clips.where(F.col(speaker).isNotNull())

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,6 +16,26 @@ METRICS = (
 PLAIN = ("video_id", "channel", "playlist", "source", "start_cut", "end_cut", "weak_cut", "local_speaker", "start_sec", "end_sec")
 
 
+Query = Callable[[SparkSession, str], DataFrame]
+
+
+def registrar() -> tuple[dict[str, Query], dict[str, str], Callable[..., Callable[[Query], Query]]]:
+    """(queries, their SQL, a decorator that registers a query by its name with the SQL that says the same)."""
+    queries: dict[str, Query] = {}
+    sql: dict[str, str] = {}
+
+    def query(text: str | None = None) -> Callable[[Query], Query]:
+        def add(f: Query) -> Query:
+            queries[f.__name__] = f
+            if text:
+                sql[f.__name__] = text
+            return f
+
+        return add
+
+    return queries, sql, query
+
+
 def rounded(column: str) -> Column:
     """A measure as a double of three decimals; NaN is null."""
     c = F.col(column).cast("double")

@@ -2,35 +2,21 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from clipweave import scorers
 from clipweave.functions import kernels
 from clipweave.operators import joins, speakers, topics
-from clipweave.plans.base import CLIPS_SQL, TRANSCRIPTS_SQL, VIDEOS_SQL, clips, transcripts, videos
+from clipweave.plans.base import CLIPS_SQL, TRANSCRIPTS_SQL, VIDEOS_SQL, clips, registrar, transcripts, videos
 from clipweave.sources import lake, media
 from clipweave.sources.tables import table
 
-Query = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, Query] = {}
-SQL: dict[str, str] = {}
-
-
-def query(sql: str | None = None) -> Callable[[Query], Query]:
-    """Register a query by its name, with the SQL that says the same."""
-
-    def add(f: Query) -> Query:
-        QUERIES[f.__name__] = f
-        if sql:
-            SQL[f.__name__] = sql
-        return f
-
-    return add
+QUERIES, SQL, query = registrar()
 
 
 _STEM = "regexp_replace(list_last(string_split(path, '/')), '\\.[^.]*$', '')"

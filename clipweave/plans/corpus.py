@@ -2,31 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from clipweave.operators import joins, rules, segment, select, stats
-from clipweave.plans.base import CLIPS_SQL, JUDGED_SQL, TRANSCRIPTS_SQL, VIDEOS_SQL, clips, judged, transcripts, videos
+from clipweave.plans.base import CLIPS_SQL, JUDGED_SQL, TRANSCRIPTS_SQL, VIDEOS_SQL, clips, judged, registrar, transcripts, videos
 from clipweave.sources.tables import table
 
 CAP_MS = 600_000
-Query = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, Query] = {}
-SQL: dict[str, str] = {}
-
-
-def query(sql: str | None = None) -> Callable[[Query], Query]:
-    """Register a query by its name, with the SQL that says the same."""
-
-    def add(f: Query) -> Query:
-        QUERIES[f.__name__] = f
-        if sql:
-            SQL[f.__name__] = sql
-        return f
-
-    return add
+QUERIES, SQL, query = registrar()
 
 
 @query(f"WITH {JUDGED_SQL} SELECT id, array_to_string(reasons, '|') AS reasons FROM judged")
@@ -161,14 +145,21 @@ def box_stats(spark, folder):
     return stats.boxes({"all": j, "kept": j.where(F.size("reasons") == 0)}, ["dnsmos_bak", "dnsmos_sig", "window_similarity"])
 
 
-@query(f"""WITH {_CAPPED}, ok AS (SELECT id FROM transcripts GROUP BY id HAVING bool_or(ok)), done AS (SELECT * FROM capped SEMI JOIN ok USING (id))
-SELECT 'segmented' AS stage, count(*) AS clips, round(coalesce(sum(ms), 0) / {_H}::DOUBLE, 6) AS hours FROM judged UNION ALL SELECT 'filtered', count(*), round(sum(coalesce(ms, 0)) / {_H}::DOUBLE, 6) FROM kept
-UNION ALL SELECT 'capped', count(*), round(sum(coalesce(ms, 0)) / {_H}::DOUBLE, 6) FROM capped UNION ALL SELECT 'transcribed', count(*), round(sum(coalesce(ms, 0)) / {_H}::DOUBLE, 6) FROM done""")
+def _stage_sql(name: str, source: str) -> str:
+    return f"SELECT '{name}' AS stage, count(*) AS clips, round(coalesce(sum(coalesce(ms, 0)), 0) / {_H}::DOUBLE, 6) AS hours FROM {source}"
+
+
+@query(f"""WITH {_CAPPED}, {VIDEOS_SQL}, v AS (SELECT id, CAST(round(coalesce(duration, 0) * 1000) AS BIGINT) AS ms FROM video), ok AS (SELECT id FROM transcripts GROUP BY id HAVING bool_or(ok)),
+said AS (SELECT * FROM kept SEMI JOIN ok USING (id)), done AS (SELECT * FROM capped SEMI JOIN ok USING (id))
+{_stage_sql('downloaded', 'v')} UNION ALL {_stage_sql('segmented', 'judged')} UNION ALL {_stage_sql('filtered', 'kept')} UNION ALL {_stage_sql('transcribed', 'said')} UNION ALL {_stage_sql('final', 'done')}""")
 def funnel(spark, folder):
-    """Clips and hours left after each stage."""
-    capped = _capped(spark, folder)
-    ok = transcripts(spark, folder).where("ok").select("id")
-    return stats.funnel({"segmented": judged(spark, folder), "filtered": _kept(spark, folder), "capped": capped, "transcribed": capped.join(ok, "id", "left_semi")})
+    """Videos or clips and hours left after each stage; the stages of clips in one pass over clips with flags."""
+    ok = transcripts(spark, folder).where("ok").select("id", F.lit(True).alias("said"))
+    capped = _capped(spark, folder).select("id", F.lit(True).alias("final"))
+    flagged = judged(spark, folder).join(ok, "id", "left").join(capped, "id", "left").select("ms", (F.size("reasons") == 0).alias("fit"), "said", "final")
+    v = videos(spark, folder).select(F.round(F.coalesce("duration", F.lit(0.0)) * 1000).cast("long").alias("ms"))
+    stages = {"segmented": F.lit(True), "filtered": F.col("fit"), "transcribed": F.col("fit") & F.col("said"), "final": F.col("fit") & F.col("said") & F.col("final")}
+    return stats.flag_funnel(flagged, stages).unionByName(stats.flag_funnel(v, {"downloaded": F.lit(True)}))
 
 
 @query(f"""WITH {CLIPS_SQL} SELECT start_cut, count(*) FILTER (end_cut = 'pause') AS pause, count(*) FILTER (end_cut = 'split') AS split, count(*) FILTER (end_cut = 'turn') AS turn, count(*) FILTER (end_cut = 'weak') AS weak FROM clips GROUP BY 1""")

@@ -2,31 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clipweave.functions import text as T
 from clipweave.operators import stats
 from clipweave.operators import timeseries as ts
-from clipweave.plans.base import CLIPS_SQL, TRANSCRIPTS_SQL, VIDEOS_SQL, clips, transcripts, videos
-
-Query = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, Query] = {}
-SQL: dict[str, str] = {}
-
-
-def query(sql: str | None = None) -> Callable[[Query], Query]:
-    """Register a query by its name, with the SQL that says the same."""
-
-    def add(f: Query) -> Query:
-        QUERIES[f.__name__] = f
-        if sql:
-            SQL[f.__name__] = sql
-        return f
+from clipweave.plans.base import CLIPS_SQL, TRANSCRIPTS_SQL, VIDEOS_SQL, clips, registrar, transcripts, videos
 
-    return add
+QUERIES, SQL, query = registrar()
 
 
 def _squeezed(expr: str) -> str:
