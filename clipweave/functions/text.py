@@ -19,6 +19,12 @@ LATIN_WORD = r"[A-Za-z][A-Za-z'\-]*"
 MARKS = r"[ؐ-ًؚ-ٰٟۖ-ۭـ]"
 EVENTS = ("laughs", "chuckles", "sighs", "breath", "gasps", "coughs", "clears_throat", "sniffs", "lip_smack", "pause")
 SPANS = ("whispering", "laughing_speech", "shouting")
+# Words that say nothing about a text's topic.
+STOP_WORDS = frozenset(
+    "في من على الى إلى عن ان إن أن اللي ده دي دا دى كان كانت هو هي هما احنا انا انت انتي انتو و ف يا ما مش لا ايه إيه ازاي كده كدا بقى بس يعني او أو مع لو كل عشان علشان لما حاجة حاجه كمان برضه برده هنا هناك "
+    "اه آه ايوه طب طيب تاني بعد قبل لحد عند عنده عندي فيه فيها منه منها بيه بيها ليه ليها له لها اني انه انها اللى الي دول دلوقتي النهارده جدا اوي قوي اكتر اكثر زي مثلا "
+    "the a to and of is in it you that".split()
+)
 STYLES = ("excited", "happy", "sad", "angry", "calm", "surprised", "sarcastic", "friendly", "serious")
 
 
@@ -143,41 +149,56 @@ def tag_names(text: Column) -> Column:
     return F.transform(names, lambda n: F.regexp_replace(F.lower(F.trim(n)), r"[\s\-]+", "_"))
 
 
-def tag_cleaner(events: tuple[str, ...] = EVENTS, spans: tuple[str, ...] = SPANS, styles: tuple[str, ...] = STYLES):
-    """An Arrow function: text to (text, tags) with only known tags in canonical spelling and every span closed once.
+def cleaned_tags(text: str | None, events: tuple[str, ...] = EVENTS, spans: tuple[str, ...] = SPANS, styles: tuple[str, ...] = STYLES) -> tuple[str | None, list[str]]:
+    """(text, names) with only known tags in canonical spelling and every span closed once.
 
     Unknown tags go, closers without an open span go, and spans still open at the end are closed, the last first.
     """
-    known, span_names = {*events, *spans, *styles}, set(spans)
-    tag = re.compile(r"\[\s*(/?)\s*([A-Za-z_ ]+?)\s*\]")
-
-    def one(text: str | None) -> tuple[str | None, list[str]]:
-        if text is None:
-            return None, []
-        open_: list[str] = []
-        names: list[str] = []
-
-        def write(m: re.Match) -> str:
-            name = re.sub(r"[\s\-]+", "_", m[2].strip().lower())
-            if name not in known:
+    if text is None:
+        return None, []
+    known = {*events, *spans, *styles}
+    open_: list[str] = []
+    names: list[str] = []
+
+    def write(m: re.Match) -> str:
+        name = re.sub(r"[\s\-]+", "_", m[2].strip().lower())
+        if name not in known:
+            return " "
+        if m[1]:
+            if name not in open_:
                 return " "
-            if m[1]:
-                if name not in open_:
-                    return " "
-                open_.remove(name)
-                return f" [/{name}] "
-            names.append(name)
-            if name in span_names:
-                open_.append(name)
-            return f" [{name}] "
-
-        out = tag.sub(write, text) + "".join(f" [/{n}]" for n in reversed(open_))
-        return re.sub(r"\s+", " ", out).strip(), names
+            open_.remove(name)
+            return f" [/{name}] "
+        names.append(name)
+        if name in spans:
+            open_.append(name)
+        return f" [{name}] "
+
+    out = re.sub(r"\[\s*(/?)\s*([A-Za-z_ ]+?)\s*\]", write, text) + "".join(f" [/{n}]" for n in reversed(open_))
+    return re.sub(r"\s+", " ", out).strip(), names
+
+
+def clean_answer(text: str) -> str:
+    """`clean_llm_output` of one text in Python, for scorers."""
+    t = re.sub(r"^\s*```\w*\s*$|```", "", text, flags=re.M).strip()
+    t = re.sub(r"^(?:transcript|transcription|النص|التفريغ)\s*[:：]\s*", "", t, flags=re.I).strip()
+    if len(t) >= 2 and t[0] == t[-1] and t[0] in "\"'«»“”":
+        t = t[1:-1]
+    return re.sub(r"\s+", " ", t).strip()
+
+
+def without_tags(text: str) -> str:
+    """`strip_tags` of one text in Python, for scorers."""
+    return re.sub(r"\s+", " ", re.sub(TAG, " ", text)).strip()
+
+
+def tag_cleaner(events: tuple[str, ...] = EVENTS, spans: tuple[str, ...] = SPANS, styles: tuple[str, ...] = STYLES):
+    """`cleaned_tags` as an Arrow function: text to (text, tags)."""
 
     @F.pandas_udf(StructType().add("text", StringType()).add("tags", ArrayType(StringType())))
     def clean(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            yield pd.DataFrame([one(t) for t in b], columns=["text", "tags"])
+            yield pd.DataFrame([cleaned_tags(t, events, spans, styles) for t in b], columns=["text", "tags"])
 
     return clean
 
@@ -195,6 +216,24 @@ def word_counts(text: Column) -> Column:
     return F.regexp_extract_all(strip_tags(text), F.lit(r"([ء-ي]{3,})"), F.lit(1))
 
 
+def content_words(text: Column, stop: frozenset[str] = STOP_WORDS) -> Column:
+    """Arabic words of three letters or more that aren't stop words, tags stripped."""
+    words = F.regexp_extract_all(strip_tags(text), F.lit(r"([ء-ي]+)"), F.lit(1))
+    return F.filter(words, lambda w: (F.length(w) > 2) & ~w.isin(sorted(stop)))
+
+
+def prompt_list(events: tuple[str, ...] = EVENTS, spans: tuple[str, ...] = SPANS, styles: tuple[str, ...] = STYLES) -> str:
+    """The tags a model may use, as they are written: styles and events alone, spans around their words."""
+    return ", ".join([f"[{t}]" for t in (*styles, *events)] + [f"[{t}] ... [/{t}]" for t in spans])
+
+
+def word_tokens(word: str, vocabulary: dict[str, int], romanize=lambda w: w) -> list[int]:
+    """Token numbers of a word for alignment: punctuation goes, the word is put in Latin letters by `romanize`, unknown letters are left out; the
+    mark between words is no letter."""
+    bare = re.sub(r"[^\w']", "", word)
+    return [vocabulary[c] for c in romanize(bare).lower() if c in vocabulary and c != "|"] if bare else []
+
+
 def parse_segments(lines: Column) -> Column:
     """Lines "start end speaker" as an array of structs, by start, end and speaker; other lines are left out."""
     parts = F.transform(lines, lambda x: F.split(F.trim(x), r"\s+"))

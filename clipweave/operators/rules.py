@@ -87,3 +87,31 @@ def confusion(clips: DataFrame, labels: DataFrame, rules: tuple[Rule, ...], key:
         F.count("*").alias("labelled"), F.count_if((F.col("label") == "bad") & F.col("kept")).alias("bad_accepted"),
         F.count_if((F.col("label") == "good") & ~F.col("kept")).alias("good_rejected"),
     )
+
+
+def labelled(clips: DataFrame, labels: DataFrame, rules: tuple[Rule, ...], key: str = "id") -> DataFrame:
+    """`clips` with kept, whether the rules keep them, and label; a clip labelled both ways or not at all has none."""
+    one = labels.groupBy(F.col("clip_id").alias(key)).agg(F.min("label").alias("label"), F.max("label").alias("_other")).where(F.col("label") == F.col("_other")).drop("_other")
+    return clips.withColumn("kept", F.size(reasons(rules)) == 0).join(one, key, "left")
+
+
+def page(judged: DataFrame, *, show: str = "all", metric: str, threshold: float, order: str = "borderline", video: str | None = None, number: int = 0, size: int = 40, key: str = "id", seed: int = 0) -> DataFrame:
+    """A page of labelled clips. show: all, labeled, unlabeled, or wrong (decided otherwise than labelled); order: borderline (nearest to the
+    threshold), low, high or random. Without the metric clips come last; ties by key."""
+    label, kept = F.col("label"), F.col("kept")
+    wrong = F.coalesce(((label == "bad") & kept) | ((label == "good") & ~kept), F.lit(False))
+    fit = {"all": F.lit(True), "labeled": label.isNotNull(), "unlabeled": label.isNull(), "wrong": wrong}[show]
+    if video:
+        fit = fit & (F.col("video_id") == video)
+    value = F.round(F.col(metric) * 1000).cast("long")
+    orders = {
+        "borderline": F.round(F.abs(F.col(metric) - threshold) * 1000).cast("long").asc_nulls_last(), "low": value.asc_nulls_last(), "high": value.desc_nulls_last(),
+        "random": F.md5(F.concat_ws("\u0001", F.lit(str(seed)), F.col(key).cast("string"))).asc(),
+    }
+    return judged.where(fit).orderBy(orders[order], key).offset(number * size).limit(size)
+
+
+def ranges(clips: DataFrame, metrics: list[str]) -> DataFrame:
+    """(metric, low, high, known): the range of every metric and how many clips have it, in one pass."""
+    one = clips.agg(*[f(m).alias(f"{m}_{n}") for m in metrics for n, f in (("low", F.min), ("high", F.max), ("known", F.count))])
+    return one.select(F.inline(F.array(*[F.struct(F.lit(m).alias("metric"), *[F.col(f"{m}_{n}").alias(n) for n in ("low", "high", "known")]) for m in metrics])))

@@ -23,6 +23,19 @@ def _unit(x: np.ndarray) -> np.ndarray:
     return x / (np.linalg.norm(x, axis=-1, keepdims=True) + 1e-9)
 
 
+def consistency(rows: DataFrame, *, keys: list[str], vector: str) -> DataFrame:
+    """(*keys, least): the least cosine of a group's vectors to the mean of their directions.
+
+    Means are taken value by value, with partial sums before the shuffle, and joined back; no group is gathered. Vectors are
+    finite, of one length and not all zero.
+    """
+    length = F.sqrt(F.aggregate(F.col(vector), F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")))
+    unit = rows.select(*keys, F.transform(vector, lambda x: x.cast("double")).alias("_v"), length.alias("_len"))
+    values = unit.select(*keys, "_len", F.posexplode("_v").alias("_i", "_x")).groupBy(*keys, "_i").agg(F.avg(F.col("_x") / F.col("_len")).alias("_m"))
+    means = values.groupBy(*keys).agg(F.transform(F.sort_array(F.collect_list(F.struct("_i", "_m"))), lambda e: e["_m"]).alias("_c"))  # as many as a vector has values
+    return unit.join(means, keys).groupBy(*keys).agg(F.min(cosine("_v", "_c")).alias("least"))
+
+
 def voice_prints(clips: DataFrame, *, outlier: float = 0.5, dims: int = 192, keys: tuple[str, ...] = ("video_id", "local_speaker")) -> DataFrame:
     """(*keys, print, seconds, members, sound) of every speaker of a video: the unit mean of its clips' embeddings, by length.
 

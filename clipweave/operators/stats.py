@@ -167,3 +167,14 @@ def numbered(groups: DataFrame, prefix: str, order_by: str, key: str) -> DataFra
     """`groups` with a name made of the upper-case `prefix` column and a number of five digits, the largest first within a prefix."""
     place = F.row_number().over(Window.partitionBy(prefix).orderBy(F.desc(order_by), F.col(key)))
     return groups.withColumn("name", F.format_string("%s_%05d", F.upper(F.col(prefix)), place))
+
+
+def polynomial(value: Column, coefficients: tuple[float, ...]) -> Column:
+    """A polynomial of a value, highest power first, as a sum of powers."""
+    out = F.lit(0.0)
+    for power, c in zip(range(len(coefficients) - 1, -1, -1), coefficients):
+        term = F.lit(c)
+        for _ in range(power):
+            term = term * value
+        out = out + term
+    return out

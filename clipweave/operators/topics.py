@@ -8,9 +8,11 @@ from pyspark.sql import functions as F
 TOKEN = r"([ء-ي]{3,}|[a-z]{3,})"
 
 
-def tfidf(texts: DataFrame, *, key: str, text: str, most_terms: int = 20_000) -> DataFrame:
-    """(`key`, term, weight): counts times smooth inverse document frequency, of unit length per text, over the most frequent terms."""
+def tfidf(texts: DataFrame, *, key: str, text: str, most_terms: int = 20_000, stop: frozenset[str] = frozenset()) -> DataFrame:
+    """(`key`, term, weight), stop words left out: counts times smooth inverse document frequency, of unit length per text, over the most frequent terms."""
     tokens = texts.select(key, F.explode(F.regexp_extract_all(F.lower(F.col(text)), F.lit(TOKEN), F.lit(1))).alias("term"))
+    if stop:
+        tokens = tokens.where(~F.col("term").isin(sorted(stop)))
     tf = tokens.groupBy(key, "term").agg(F.count("*").alias("tf"))
     terms = tf.groupBy("term").agg(F.count("*").alias("df"), F.sum("tf").alias("total"))
     vocabulary = terms.orderBy(F.desc("total"), "term").limit(most_terms)
@@ -27,6 +29,12 @@ def topic_names(weights: DataFrame, topics: DataFrame, *, key: str, terms: int =
     return top.groupBy("topic").agg(F.transform(F.sort_array(F.collect_list(F.struct("r", "term"))), lambda e: e["term"]).alias("t")).select("topic", F.array_join("t", ", ").alias("name"))
 
 
+def topic_hours(topics: DataFrame, clips: DataFrame, *, key: str = "id", ms: str = "ms") -> DataFrame:
+    """(topic, hours) of the clips of each topic."""
+    joined = topics.join(clips.select(key, ms), key)
+    return joined.groupBy("topic").agg(F.round(F.sum(F.coalesce(F.col(ms), F.lit(0))) / 3_600_000.0, 6).alias("hours"))
+
+
 def kmeans(vectors: DataFrame, *, key: str, column: str, k: int, seed: int = 0, starts: int = 3) -> DataFrame:
     """(`key`, topic) by the best of several k-means runs; k is at least 2 and at most a fifth of the rows."""
     from pyspark.ml.clustering import KMeans

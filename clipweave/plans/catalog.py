@@ -21,14 +21,14 @@ QUERIES, SQL, query = registrar()
 
 _STEM = "regexp_replace(list_last(string_split(path, '/')), '\\.[^.]*$', '')"
 _GIVEN = f"nullif(regexp_extract({_STEM}, '^(.*?)\\s*\\[([A-Za-z0-9_-]{{11}})\\]$', 2), '')"
-_FOLDER = "CASE WHEN len(string_split(path, '/')) > 1 THEN string_split(path, '/')[-2] END"
+_FOLDER = "nullif(regexp_replace(path, '/?[^/]*$', ''), '')"
 
 
 @query(f"""WITH {VIDEOS_SQL} SELECT path, coalesce({_GIVEN}, 'f' || left(sha1(path), 10)) AS id,
-  translate(CASE WHEN {_GIVEN} IS NOT NULL THEN regexp_extract({_STEM}, '^(.*?)\\s*\\[([A-Za-z0-9_-]{{11}})\\]$', 1) ELSE {_STEM} END, '⧸｜', '/|') AS title,
-  CASE WHEN {_FOLDER} NOT IN ('NA', '.', '') THEN translate({_FOLDER}, '⧸｜', '/|') END AS playlist FROM video""")
+  trim(translate(CASE WHEN {_GIVEN} IS NOT NULL THEN regexp_extract({_STEM}, '^(.*?)\\s*\\[([A-Za-z0-9_-]{{11}})\\]$', 1) ELSE {_STEM} END, '⧸｜', '/|')) AS title,
+  CASE WHEN {_FOLDER} NOT IN ('NA', '.') THEN {_FOLDER} END AS playlist, 'https://www.youtube.com/watch?v=' || {_GIVEN} AS url FROM video""")
 def index_parse(spark, folder):
-    """What the paths of the videos say: id, title and playlist."""
+    """What the paths of the videos say: id, title, playlist and url."""
     parts = media.parsed_name(F.col("path"))
     return videos(spark, folder).select("path", *[c.alias(n) for n, c in parts.items()])
 

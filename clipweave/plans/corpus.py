@@ -281,14 +281,6 @@ def test_speakers(spark, folder):
     return select.test_speakers(per, 20)
 
 
-@query()
-def share_cap(spark, folder):
-    """Each speaker's milliseconds under the cap by which none has more than five hundredths of all."""
-    per = _per_speaker(spark, folder)
-    cap = select.share_cap(per, 0.05)
-    return per.select("speaker_id", F.least(F.col("ms").cast("double"), F.lit(cap)).alias("kept_ms"))
-
-
 @query(f"""WITH {CLIPS_SQL} SELECT video_id || '_s' || local_speaker || '_' || lpad(CAST(row_number() OVER (PARTITION BY video_id, local_speaker ORDER BY start_sec, id) - 1 AS VARCHAR), 4, '0') AS clip_id, id,
   CASE WHEN length(video_id) = 11 THEN 'https://youtu.be/' || video_id || '?t=' || CAST(floor(start_sec) AS BIGINT) || 's' END AS url, CAST(floor(start_sec / 60) AS BIGINT) || ':' || lpad(CAST(CAST(floor(start_sec) AS BIGINT) % 60 AS VARCHAR), 2, '0') AS label FROM clips""")
 def clip_names(spark, folder):

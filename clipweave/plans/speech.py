@@ -84,15 +84,28 @@ def sanity_flags(spark, folder):
     return joined.select("id", F.round(rate, 2).alias("rate"), F.array_join(T.sanity_flags(t, seconds), "|").alias("flags"))
 
 
-_ASCII = "regexp_replace({0}, '[^ -~]', '', 'g')"
+# Every Arabic letter as an ASCII character that compared forms don't have, so that SQL, which counts bytes, counts characters.
+_ARABIC, _AS_ASCII = "ابتثجحخدذرزسشصضطظعغفقكلمنهويء", "ABCDEFGHIJKLMNOPQRSTUVWXYZ!#$"
 
 
-@query(f"WITH {TRANSCRIPTS_SQL}, p AS (SELECT id, {_ASCII.format('text')} AS a, {_ASCII.format('text_tagged')} AS b FROM transcript WHERE text IS NOT NULL AND text_tagged IS NOT NULL) SELECT id, round(CASE WHEN length(a) = 0 THEN CASE WHEN length(b) = 0 THEN 0 ELSE 1 END ELSE levenshtein(a, b)::DOUBLE / length(a) END, 6) AS cer FROM p")
+def spelt(text):
+    """The compared form of a text, each Arabic letter as one ASCII character; other letters are left out."""
+    return F.regexp_replace(F.translate(T.normalize_for_compare(text, compose=False), _ARABIC, _AS_ASCII), "[^ -~]", "")
+
+
+def spelt_sql(column: str) -> str:
+    """The same in SQL."""
+    plain = _squeezed(f"regexp_replace({column}, '{T.TAG}', ' ', 'g')")
+    form = f"regexp_replace(translate(regexp_replace(lower({plain}), '{T.MARKS}', '', 'g'), 'أإآٱةىؤئ', 'ااااهيوي'), '[^\\p{{L}}\\p{{N}}\\s]', ' ', 'g')"
+    return f"regexp_replace(translate({_squeezed(form)}, '{_ARABIC}', '{_AS_ASCII}'), '[^ -~]', '', 'g')"
+
+
+@query(f"WITH {TRANSCRIPTS_SQL}, p AS (SELECT id, {spelt_sql('text')} AS a, {spelt_sql('text_tagged')} AS b FROM transcript WHERE text IS NOT NULL AND text_tagged IS NOT NULL) SELECT id, round(CASE WHEN length(a) = 0 THEN CASE WHEN length(b) = 0 THEN 0 ELSE 1 END ELSE levenshtein(a, b)::DOUBLE / length(a) END, 6) AS cer FROM p")
 def cer_pairs(spark, folder):
-    """Edits per character between the plain and the tagged text, on their ASCII characters, which SQL counts alike."""
+    """Edits per character between the compared forms of the plain and the tagged text, spelt so that SQL counts alike."""
     t = transcripts(spark, folder).where("text IS NOT NULL AND text_tagged IS NOT NULL")
-    a, b = (F.regexp_replace(c, "[^ -~]", "") for c in ("text", "text_tagged"))
-    return t.select("id", F.round(T.cer(a, b), 6).alias("cer"))
+    forms = t.select("id", spelt(F.col("text")).alias("a"), spelt(F.col("text_tagged")).alias("b"))
+    return forms.select("id", F.round(T.cer(F.col("a"), F.col("b")), 6).alias("cer"))
 
 
 @query()

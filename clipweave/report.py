@@ -38,3 +38,31 @@ def dataset_card(title: str, splits: DataFrame, notes: str = "") -> str:
 def thresholds_yaml(rules: tuple[Rule, ...]) -> str:
     """The limits of a set of rules as settings; null is off."""
     return "filter:\n" + "".join(f"  {r.side}_{r.metric}: {'null' if r.limit is None else r.limit}\n" for r in rules)
+
+
+def export_figures(figures: dict[str, DataFrame], folder: str) -> list[str]:
+    """The data of figures, a table and a JSON document each, for whatever draws them; returns the names written. Figures are small by nature: groups,
+    bins or a top-k."""
+    import json
+    from pathlib import Path
+
+    out = Path(folder)
+    out.mkdir(parents=True, exist_ok=True)
+    for name, df in figures.items():
+        rows = [json.loads(r) for r in df.toJSON().collect()]
+        (out / f"{name}.json").write_text(json.dumps({"columns": df.columns, "rows": rows}, ensure_ascii=False), encoding="utf-8")
+        (out / f"{name}.html").write_text(f"<meta charset='utf-8'><h1>{html.escape(name)}</h1>{review_table(df)}", encoding="utf-8")
+    return sorted(figures)
+
+
+def tuner_document(payload: DataFrame, rules: tuple, clips: DataFrame, *, most: int = 30_000, key: str = "id") -> dict:
+    """What a threshold tuner shows: the rules with their limits, the range of every metric, and up to `most` clips in seeded order."""
+    from clipweave.operators.select import seeded_sample
+
+    metrics = [r["metric"] for r in payload.select("metric").collect()]
+    sample = seeded_sample(clips.select(key, "video_id", "start_sec", *metrics), most, key)
+    return {
+        "rules": [{"metric": r.metric, "side": r.side, "limit": r.limit, "reason": r.reason} for r in rules],
+        "metrics": [r.asDict() for r in payload.collect()],
+        "clips": [r.asDict() for r in sample.collect()],
+    }

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import json
+import time
+import urllib.request
 from collections.abc import Callable, Iterator
 from typing import Protocol
 
@@ -85,4 +88,41 @@ class TextLengthScorer:
         return pd.DataFrame({"chars": text.str.len().astype("int64"), "words": text.str.split().str.len().astype("int64")})
 
 
+class HttpScorer:
+    """A model behind HTTP that gets a JSON document per row and answers with one: several requests at a time, and up to `attempts` for each, with
+    pauses that double in between. An answer is cleaned of fences, labels and quotes, and its tags are made canonical."""
+
+    inputs: tuple[str, ...] = ("text",)
+    outputs = "text string, text_tagged string, tags array<string>"
+
+    def __init__(self, url: str, *, attempts: int = 4, pause: float = 1.0, at_once: int = 8, timeout: float = 120.0, answer: str = "text"):
+        self.url, self.attempts, self.pause, self.at_once, self.timeout, self.answer = url, attempts, pause, at_once, timeout, answer
+
+    def load(self) -> None:
+        pass
+
+    def ask(self, document: dict) -> str:
+        """The answer's text; the last error if all attempts fail."""
+        for k in range(self.attempts):
+            try:
+                request = urllib.request.Request(self.url, json.dumps(document).encode(), {"Content-Type": "application/json"})
+                with urllib.request.urlopen(request, timeout=self.timeout) as response:
+                    return json.load(response)[self.answer]
+            except (OSError, ValueError, KeyError):
+                if k + 1 == self.attempts:
+                    raise
+                time.sleep(self.pause * 2**k)
+        raise RuntimeError("no attempt was allowed")
+
+    def score(self, batch: pd.DataFrame) -> pd.DataFrame:
+        from concurrent.futures import ThreadPoolExecutor
+
+        from clipweave.functions.text import clean_answer, cleaned_tags, without_tags
+
+        with ThreadPoolExecutor(self.at_once) as pool:
+            answers = list(pool.map(self.ask, batch.to_dict("records")))
+        tagged = [cleaned_tags(clean_answer(a)) for a in answers]
+        return pd.DataFrame({"text": [without_tags(t) for t, _ in tagged], "text_tagged": [t for t, _ in tagged], "tags": [n for _, n in tagged]})
+
+
 register("text_length", TextLengthScorer)

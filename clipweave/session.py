@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 import uuid
@@ -11,7 +12,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 _local_scratch: str | None = None
-_cuts: list[str] = []
+_cuts: list[tuple[str, object, object]] = []  # path, and what deletes it even when the session has ended
 
 
 def build_session(app: str = "clipweave", master: str | None = None, **conf: str) -> SparkSession:
@@ -70,7 +71,7 @@ def cut(df: DataFrame, name: str = "cut") -> DataFrame:
     spark = df.sparkSession
     path = f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    _cuts.append(path)
+    _cuts.append((path, spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()))
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -91,9 +92,19 @@ def drop_cut(df: DataFrame) -> None:
             fs.delete(path, True)
 
 
-def clear_cuts(spark: SparkSession) -> None:
-    """Delete all tables cut so far by this driver; frames that still refer to them can't be read any more."""
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+def clear_cuts(spark: SparkSession | None = None) -> None:
+    """Delete all tables cut so far by this driver; frames that still refer to them can't be read any more. Done when the driver ends too."""
     while _cuts:
-        path = jvm.org.apache.hadoop.fs.Path(_cuts.pop())
+        name, jvm, conf = _cuts.pop()
+        path = jvm.org.apache.hadoop.fs.Path(name)
         path.getFileSystem(conf).delete(path, True)
+
+
+def _at_exit() -> None:
+    try:
+        clear_cuts()
+    except Exception:  # the JVM is gone already: what it left is in one folder
+        _cuts.clear()
+
+
+atexit.register(_at_exit)

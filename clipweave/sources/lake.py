@@ -65,7 +65,31 @@ def pack_shards(videos: DataFrame, most_bytes: int, *, key: str = "video_id", si
     return given.repartition(1).sortWithinPartitions(key).mapInArrow(fold, f"`{key}` {kind}, shard int")
 
 
-def write_shards(clips: DataFrame, shards: DataFrame, path: str, key: str = "video_id") -> None:
-    """Clips as Parquet, a folder per shard, each written by one task and sorted by id."""
+def write_shards(clips: DataFrame, shards: DataFrame, path: str, key: str = "video_id", *, group_bytes: int = 8 << 20, mode: str = "overwrite") -> None:
+    """Clips as Parquet, a folder per shard, each written by one task, sorted by id and in small row groups, which a viewer reads one by one."""
     placed = clips.join(shards, key)
-    placed.repartition("shard").sortWithinPartitions("shard", "id").write.mode("overwrite").partitionBy("shard").parquet(path)
+    ordered = placed.repartition("shard").sortWithinPartitions("shard", "id")
+    ordered.write.mode(mode).option("parquet.block.size", group_bytes).partitionBy("shard").parquet(path)
+
+
+def read_vectors(files: DataFrame) -> DataFrame:
+    """(path, id, local_speaker, embedding, window_similarity) from the content of NPZ archives of ids, embeddings, similarities and voices.
+
+    A one-off import: `files` (path, content) as `binaryFile` gives them; half-precision values become floats.
+    """
+    import pandas as pd
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import io
+
+        import numpy as np
+
+        for b in batches:
+            for path, content in zip(b["path"], b["content"]):
+                z = np.load(io.BytesIO(content), allow_pickle=False)
+                yield pd.DataFrame({
+                    "path": path, "id": z["ids"].astype(str), "local_speaker": z["local_speaker"].astype("int32"),
+                    "embedding": list(z["embeddings"].astype("float32")), "window_similarity": z["window_similarity"].astype("float32"),
+                })
+
+    return files.select("path", "content").mapInPandas(run, "path string, id string, local_speaker int, embedding array<float>, window_similarity float")

@@ -12,39 +12,49 @@ from pyspark.sql import functions as F
 
 # Audio files by extension, and marks of files still being written.
 EXTENSIONS = ("wav", "flac", "mp3", "m4a", "opus", "ogg", "webm", "mp4", "mkv")
-UNFINISHED = (".temp.", ".part", ".ytdl")
+UNFINISHED = (".temp.", ".part", ".ytdl", ".tmp")
 NAME = r"^(.*?)\s*\[([A-Za-z0-9_-]{11})\]$"
 
 
-def list_files(spark: SparkSession, root: str, *, content: bool = False) -> DataFrame:
-    """(path, modified, size[, content]) of the media files under a folder; unfinished and hidden files are left out."""
+def list_files(spark: SparkSession, root: str, *, content: bool = False, least_age_sec: float = 0.0) -> DataFrame:
+    """(path, modified, size[, content]) of the media files under a folder; hidden and unfinished files are left out, and so are those younger than
+    `least_age_sec`, which may still be being written. Without `content` no file is opened."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
-    name = F.lower(F.element_at(F.split("path", "/"), -1))
-    fit = F.element_at(F.split(name, r"\."), -1).isin(*EXTENSIONS) & ~name.startswith(".")
+    name = F.element_at(F.split("path", "/"), -1)
+    fit = F.lower(F.element_at(F.split(name, r"\."), -1)).isin(*EXTENSIONS) & ~name.startswith(".")
     for mark in UNFINISHED:
         fit = fit & ~name.contains(mark)
-    out = files.where(fit).select("path", F.col("modificationTime").alias("modified"), F.col("length").alias("size"), "content")
-    return out if content else out.drop("content")
+    if least_age_sec > 0:
+        fit = fit & (F.unix_micros(F.current_timestamp()) - F.unix_micros("modificationTime") >= int(least_age_sec * 1_000_000))
+    columns = ["path", F.col("modificationTime").alias("modified"), F.col("length").alias("size")]
+    return files.where(fit).select(*columns, *(["content"] if content else []))
+
+
+def enriched(index: DataFrame, catalog: DataFrame) -> DataFrame:
+    """`index` with title, channel, channel_id, url and playlist of the catalog, by id, where it has any; empty strings are none."""
+    about = catalog.select("id", *[F.nullif(F.col(c), F.lit("")).alias(f"_{c}") for c in ("title", "channel", "channel_id", "url", "playlist")])
+    joined = index.join(about, "id", "left")
+    for c in ("title", "channel", "channel_id", "url", "playlist"):
+        joined = joined.withColumn(c, F.coalesce(F.col(f"_{c}"), F.col(c)) if c in index.columns else F.col(f"_{c}")).drop(f"_{c}")
+    return joined
 
 
 def parsed_name(path: Column) -> dict[str, Column]:
-    """id, title and playlist of a path relative to the root: "Title [id].ext" in a folder named after the playlist.
+    """id, title, playlist and url of a path relative to the root: "Title [id].ext" in a folder named after the playlist.
 
-    Without an id in brackets it is "f" and ten digits of the path's SHA-1. The folder "NA" and no folder are no
-    playlist. Two look-alikes that file systems allow stand for the characters they replace.
+    Without an id in brackets it is "f" and ten digits of the path's SHA-1, and there is no url. The folder "NA" and no
+    folder are no playlist; of folders in folders the whole way is the name. Two look-alikes that file systems allow in
+    titles stand for the characters they replace.
     """
     stem = F.regexp_replace(F.element_at(F.split(path, "/"), -1), r"\.[^.]*$", "")
     given = F.nullif(F.regexp_extract(stem, NAME, 2), F.lit(""))
     title = F.when(given.isNotNull(), F.regexp_extract(stem, NAME, 1)).otherwise(stem)
-    folder = F.when(F.size(F.split(path, "/")) > 1, F.element_at(F.split(path, "/"), -2))
-
-    def shown(c: Column) -> Column:
-        return F.translate(c, "⧸｜", "/|")
-
+    folder = F.nullif(F.regexp_replace(path, r"/?[^/]*$", ""), F.lit(""))
     return {
         "id": F.coalesce(given, F.concat(F.lit("f"), F.substring(F.sha1(path.cast("binary")), 1, 10))),
-        "title": shown(title),
-        "playlist": F.when(~folder.isin("NA", ".", ""), shown(folder)),
+        "title": F.trim(F.translate(title, "⧸｜", "/|")),
+        "playlist": F.when(~folder.isin("NA", "."), folder),
+        "url": F.when(given.isNotNull(), F.concat(F.lit("https://www.youtube.com/watch?v="), given)),
     }
 
 
