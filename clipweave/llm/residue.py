@@ -257,16 +257,16 @@ def residue_messages(documents: DataFrame, *, key: str = "doc_id", text: str = "
 
 
 def residue(documents: DataFrame, *, key: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
-    """(`key`, rule, message, sources): the documents that hold residue, with what they hold and in how many sources it recurs.
+    """(`key`, rule, message, sources, by): the documents that hold residue, with what they hold, in how many sources it recurs, and by what it is told.
 
-    Numbers, addresses, dates and identifiers are masked and equal messages grouped by hash across sources. A message
-    that only a template, a server or a browser says is residue wherever it stands; a bare phrase is residue where a
-    document consists of it, or where it recurs word for word as a line of its own in WIDE sources or more. Null and
-    empty texts hold nothing, rows without a key are left out; a null source counts as one source; repeated rows of a key
-    count once.
+    Numbers, addresses, dates and identifiers are masked and equal messages grouped by hash across sources. A class of
+    messages that recurs in WIDE sources or more is residue by `recurrence` if a rule holds for it: it says what only a
+    template, a server or a browser says, or it is a bare phrase that makes up its line. A message that doesn't recur is
+    residue by `phrase` if it says the former, or `alone` if the document consists of it. Null and empty texts hold
+    nothing, rows without a key are left out; a null source counts as one source; repeated rows of a key count once.
     """
     held = cut(residue_messages(documents, key=key, text=text, source=source).distinct(), "residue")
     spread = held.select("digest", F.coalesce("source", F.lit("")).alias("source")).distinct().groupBy("digest").agg(F.count("*").alias("sources"))
     counted = held.join(spread, "digest")
-    kept = counted.where(F.col("strong") | F.col("alone") | (F.col("line") & (F.col("sources") >= WIDE)))
-    return kept.select(key, "rule", "message", "sources").distinct()
+    by = F.when((F.col("sources") >= WIDE) & (F.col("strong") | F.col("line")), "recurrence").when(F.col("strong"), "phrase").when(F.col("alone"), "alone")
+    return counted.withColumn("by", by).where("by IS NOT NULL").select(key, "rule", "message", "sources", "by").distinct()
