@@ -75,7 +75,10 @@ def _voices(spark, folder):
     return speakers.voice_prints(c.select("video_id", "local_speaker", "duration", "speaker_embedding"))
 
 
-@query()
+@query(f"""WITH {CLIPS_SQL}, raw_e AS (SELECT id, any_value(speaker_embedding) AS v FROM chunks WHERE id IS NOT NULL AND speaker_embedding IS NOT NULL GROUP BY id), e AS (SELECT id, video_id, local_speaker, coalesce(duration, 0) AS d, CAST(v AS DOUBLE[]) AS v FROM clips JOIN raw_e USING (id) WHERE len(v) = 192 AND list_bool_and([NOT isnan(x) FOR x IN v])),
+u AS (SELECT *, sqrt(list_sum([x * x FOR x IN v])) + 0.000000001::DOUBLE AS l FROM e), s AS (SELECT video_id, local_speaker, i, sum(x / l * d) AS x FROM (SELECT video_id, local_speaker, d, l, generate_subscripts(v, 1) AS i, unnest(v) AS x FROM u) GROUP BY 1, 2, 3),
+c AS (SELECT video_id, local_speaker, list(x ORDER BY i) AS c, sqrt(sum(x * x)) + 0.000000001::DOUBLE AS m FROM s GROUP BY 1, 2)
+SELECT u.video_id, u.local_speaker, round(sum(d), 3) AS seconds, count(*) AS members, count(*) FILTER (list_inner_product(v, c) / l / m >= 0.5::DOUBLE) AS sound FROM u JOIN c ON c.video_id IS NOT DISTINCT FROM u.video_id AND c.local_speaker IS NOT DISTINCT FROM u.local_speaker GROUP BY 1, 2""")
 def voice_prints(spark, folder):
     """The voice print of every speaker of a video: seconds, members and how many of them are sound."""
     return _voices(spark, folder).select("video_id", "local_speaker", F.round("seconds", 3).alias("seconds"), "members", "sound")
