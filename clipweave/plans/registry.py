@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from clipweave.plans import assembly, balance, catalog, corpus, speech
+from clipweave.plans import assembly, balance, catalog, corpus, signals, speech
 
-MODULES = (corpus, speech, catalog, assembly, balance)
+MODULES = (corpus, speech, catalog, assembly, balance, signals)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
