@@ -51,7 +51,7 @@ def test_media_index(spark, tmp_path):
     (tmp_path / "NA" / "bad [zzzzzzzzzzz].wav").write_bytes(b"no")
     files = media.list_files(spark, str(tmp_path), content=True)
     assert files.count() == 4
-    parts = media.parsed_name(F.col("path"))
+    parts = media.parsed_name(F.regexp_replace("path", f".*/{tmp_path.name}/", ""))
     described = media.probe_headers(files).select("path", "duration", "error", *[c.alias(n) for n, c in parts.items()])
     got = {r["title"]: (r["outcome"], r["playlist"]) for r in media.settle(described, 10.0).collect()}
     assert got == {"Talk | part 1": ("ok", "My Playlist"), "Talk": ("duplicate", None), "short": ("short", None), "bad": ("error", None)}
