@@ -56,10 +56,10 @@ def music_levels(spark, folder):
 
 
 @query(f"""WITH {_WAVES}, x AS (SELECT vec_id, len(e) AS n, generate_subscripts(e, 1) - 1 AS "at", unnest(e) AS x FROM w)
-SELECT vec_id, CAST("at" AS BIGINT) AS "at", round(x * CASE WHEN "at" < 6 THEN 0.5 - 0.5 * cos(pi() * "at" / 6) WHEN "at" >= n - 6 THEN 0.5 - 0.5 * cos(pi() * (n - 1 - "at") / 6) ELSE 1 END, 6) AS x FROM x""")
+SELECT vec_id, CAST("at" AS BIGINT) AS "at", round(x * CASE WHEN "at" < 6 THEN 0.5 - 0.5 * cos(pi() * "at" / 6) WHEN "at" >= n - 6 THEN 0.5 - 0.5 * cos(pi() * (n - 1 - "at") / 6) ELSE 1 END, 6) + 0 AS x FROM x""")
 def faded_waves(spark, folder):
     """Vectors with half-cosine fades of six values at both ends."""
-    return signal.faded(table(spark, folder, "embeddings"), key="vec_id", wave="embedding", k=6).select("vec_id", "at", F.round("x", 6).alias("x"))
+    return signal.faded(table(spark, folder, "embeddings"), key="vec_id", wave="embedding", k=6).select("vec_id", "at", (F.round("x", 6) + 0.0).alias("x"))
 
 
 @query(f"WITH {_WAVES} SELECT vec_id, CAST(generate_subscripts(e, 1) - 1 AS BIGINT) AS at, round(unnest(e) / (sqrt(list_inner_product(e, e)) + 0.000000001::DOUBLE), 6) AS x FROM w")
