@@ -311,7 +311,8 @@ def test_residue_tells_messages_from_talk(spark):
 
 def test_residue_counts_sources_of_masked_messages(spark):
     df = spark.createDataFrame([(i, f"Sorry, something broke on our end. Ticket no. {n}", s) for i, (n, s) in enumerate([("456292", "a"), ("0812aa", "b"), ("1", None)])], "doc_id long, text string, source string")
-    assert {r["sources"] for r in residue.residue(df).collect()} == {3}
+    assert {(r["sources"], r["by"]) for r in residue.residue(df).collect()} == {(3, "recurrence")}
+    assert [r["by"] for r in residue.residue(df.limit(1)).collect()] == ["phrase"]
 
 
 #: Pieces that no list of triggers named: filler without its first words, notices at the start, bare codes, marks within a word.
