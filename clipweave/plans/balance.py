@@ -108,6 +108,22 @@ def balance_summary(spark, folder):
     return _splits(spark, folder).groupBy("split").agg(F.count("*").alias("clips"), stats.hours().alias("hours"), F.count_distinct("speaker_id").alias("speakers"))
 
 
+@query(f"WITH {_SPLITS} SELECT s.id, s.split, c.duration, c.video_id FROM splits s JOIN clips c USING (id)")
+def final_frame(spark, folder):
+    """The final clips of all splits with their columns."""
+    from clipweave import frames
+
+    return frames.final_frame(spark, folder).select("id", "split", "duration", "video_id")
+
+
+@query(f"WITH {CLIPS_SQL}, {TRANSCRIPTS_SQL} SELECT t.id, c.duration, c.speaker_id, t.ok FROM transcript t LEFT JOIN clips c ON c.id = t.id")
+def transcripts_frame(spark, folder):
+    """Transcripts with the length and the speaker of their clips."""
+    from clipweave import frames
+
+    return frames.transcripts_frame(spark, folder).select("id", "duration", "speaker_id", "ok")
+
+
 _PER = "per AS (SELECT speaker_id, sum(coalesce(ms, 0)) AS ms FROM clips WHERE speaker_id IS NOT NULL GROUP BY 1)"
 
 

@@ -54,3 +54,11 @@ def run(spark: SparkSession, folder: str, work: str, names: list[str], *, limit:
             ledger.mark("run", spark.range(1).select(F.lit(name).alias("id")))
         ran.append(name)
     return ran
+
+
+def progress(done: int, total: int, *, audio_sec: float, elapsed_sec: float) -> str:
+    """One line on a step under way: items, how many times faster than the audio plays, and the time still to go at this speed."""
+    speed = audio_sec / elapsed_sec if elapsed_sec > 0 else 0.0
+    left = elapsed_sec / done * (total - done) if done else 0.0
+    share = f"{100 * done // total} %" if total else "-"
+    return f"{done}/{total} ({share}), {speed:.1f}x real time, {int(left // 3600)}:{int(left // 60) % 60:02}:{int(left) % 60:02} to go"

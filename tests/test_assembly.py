@@ -215,6 +215,7 @@ def test_steps_run_once_and_in_slices(spark, small, tmp_path, capsys):
     for bad in ({"stage": "x"}, {"stage": "local", "first": "funnel"}, {"only": ["nothing"]}):
         with pytest.raises(KeyError):
             steps.chosen(**bad)
+    assert steps.progress(5, 20, audio_sec=600.0, elapsed_sec=60.0) == "5/20 (25 %), 10.0x real time, 0:03:00 to go" and steps.progress(0, 0, audio_sec=0, elapsed_sec=0).startswith("0/0 (-)")
     steps.register("mine", lambda s, f: s.range(3))
     work = str(tmp_path / "w")
     assert steps.run(spark, small, work, ["mine", "sample_rates"]) == ["mine", "sample_rates"] and steps.run(spark, small, work, ["mine"]) == [] and steps.run(spark, small, work, ["mine"], force=True, limit=1) == ["mine"]

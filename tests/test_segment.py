@@ -68,6 +68,25 @@ def test_clips_are_cut_from_files(spark):
     assert to == 4000 and len(y) == 4000
 
 
+def test_widths_of_samples_and_ranges_of_files(spark, tmp_path):
+    import wave
+
+    x = np.array([0.5, -0.25, 0.0, -1.0])
+    for width in (1, 2, 3, 4):
+        whole = np.rint(x * (1 << (8 * width - 1))).astype(np.int64) + (128 if width == 1 else 0)
+        raw = b"".join(int(v).to_bytes(width, "little", signed=width > 1) for v in whole)
+        assert np.allclose(audio.pcm_samples(raw, width, 1), x) and np.allclose(audio.pcm_samples(raw, width, 2), [0.125, -0.5])
+        with wave.open(str(tmp_path / f"{width}.wav"), "wb") as w:
+            w.setnchannels(1), w.setsampwidth(width), w.setframerate(4), w.writeframes(raw)
+        assert np.allclose(audio.decode_wav(str(tmp_path / f"{width}.wav"), 0.25, 0.75)[0], x[1:3])
+    rate = 8000
+    (tmp_path / "f.wav").write_bytes(audio.encode_wav(0.5 * np.sin(np.arange(rate * 4) / 4), rate))
+    files = spark.createDataFrame([(str(tmp_path / "f.wav"),), (str(tmp_path / "none.wav"),)], "path string")
+    clips = files.selectExpr("path", "path AS id", "1.0D AS start_sec", "2.0D AS end_sec")
+    got = {r["id"]: r["audio"] for r in audio.cut_clips(files, clips).collect()}
+    assert len(audio.decode_wav(bytes(got[str(tmp_path / "f.wav")]))[0]) == rate and got[str(tmp_path / "none.wav")] is None
+
+
 def test_segment_lines_and_archive_lines(spark):
     df = spark.createDataFrame([(["1.5 2 b", "0 1 a", "x y z", "1 2"], "site abc"), ([], "a b c")], "lines array<string>, line string")
     got = df.select(T.parse_segments(F.col("lines")), T.archived_id(F.col("line"))).collect()
